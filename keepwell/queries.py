@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell import fixed_values as fixed
-from keepwell.operators import dedup, quality
-from keepwell.plans import actions, churn, customer360, kpis, silver
+from keepwell.operators import dedup, mlprep, quality, ranking, sync
+from keepwell.plans import actions, churn, customer360, kpis, ml, serving, silver
+from keepwell.plans.medallion import GoldTables, refresh_gold
+from keepwell.session import fresh_path
+from keepwell.sources import generate
 from keepwell.sources.retail_inputs import RetailInputs
+from keepwell.sources.tables import manifest, publish
+from keepwell.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -520,3 +526,437 @@ def kpi_overall(env: Env) -> DataFrame:
 @query
 def latest_kpis(env: Env) -> DataFrame:
     return kpis.latest(env.kpis)
+
+
+# --- stored gold tables, change feed and sync -------------------------------------------------
+_DATABASES: dict[tuple[str, str, str], GoldTables] = {}
+
+
+def gold(env: Env, variant: str = "N") -> GoldTables:
+    """The gold tables of a folder, refreshed once per session into the shared folder."""
+    key = (env.spark.sparkContext.applicationId, env.folder, variant)
+    if key not in _DATABASES:
+        database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
+        profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
+        _DATABASES[key] = refresh_gold(
+            env.spark, database, fresh_path(env.spark, "gold"), profile, daily, variant
+        )
+    return _DATABASES[key]
+
+
+EARLIER_AS_OF = "2001-07-02"
+
+
+@query
+def cdc_snapshot_diff(env: Env) -> DataFrame:
+    return sync.snapshot_diff(env.earlier(EARLIER_AS_OF).scores_n, env.scores_n, "customer_id")
+
+
+@query
+def sync_upsert_merge(env: Env) -> DataFrame:
+    """The earlier serving copy brought up to date with the change feed."""
+    served = publish(
+        env.earlier(EARLIER_AS_OF).scores_n, f"served_{uuid.uuid4().hex[:12]}", fresh_path(env.spark, "served")
+    )
+    return sync.upsert_merge(
+        served, sync.snapshot_diff(served, gold(env)["gold_customer_churn_scores"], "customer_id"), "customer_id"
+    )
+
+
+_SYNCED = ("gold_customer_churn_scores", "gold_next_best_actions", "gold_customer_360")
+
+
+@query
+def sync_verify(env: Env) -> DataFrame:
+    """Stored gold against a copy brought in by the upsert, and against a stale copy."""
+    tables, earlier = gold(env), env.earlier(EARLIER_AS_OF)
+    stale = {
+        "gold_customer_churn_scores": earlier.scores_n,
+        "gold_next_best_actions": earlier.actions_n,
+        "gold_customer_360": earlier.c360_n,
+    }
+    pairs = [(name, tables[name], stale[name]) for name in _SYNCED]
+    name = _SYNCED[0]
+    merged = sync.upsert_merge(
+        stale[name], sync.snapshot_diff(stale[name], tables[name], "customer_id"), "customer_id"
+    )
+    return sync.sync_checks([*pairs, (f"{name} after sync", tables[name], merged)])
+
+
+@query
+def current_scores(env: Env) -> DataFrame:
+    """Model scores for customers with a purchase, rule scores for the others."""
+    bought = env.features_n.filter(F.col("days_since_last_purchase") < fixed.NEVER_PURCHASED_DAYS)
+    return churn.current_scores(churn.scores_from_probability(bought, recency_probability()), env.scores_n)
+
+
+@query
+def write_roundtrip_overwrite(env: Env) -> DataFrame:
+    """Publish twice; the second overwrite reads the table it replaces."""
+    name, base = f"roundtrip_{uuid.uuid4().hex[:12]}", fresh_path(env.spark, "roundtrip")
+    first = publish(env.kpis, name, base)
+    return publish(first.filter(F.col("channel") == fixed.ECOMMERCE), name, base)
+
+
+@query
+def write_schema_replace(env: Env) -> DataFrame:
+    name, base = f"replaced_{uuid.uuid4().hex[:12]}", fresh_path(env.spark, "replaced")
+    first = publish(env.scores_n, name, base)
+    return publish(
+        first.select("customer_id", F.col("churn_score").cast("double").alias("churn_score"), "churn_risk_band"),
+        name,
+        base,
+    )
+
+
+@query
+def table_manifest(env: Env) -> DataFrame:
+    tables = gold(env)
+    return manifest(env.spark, tables.database, sync.matching_tables(env.spark, [""], tables.database))
+
+
+@query
+def describe_table(env: Env) -> DataFrame:
+    return sync.describe(gold(env)["gold_customer_360"], "gold_customer_360")
+
+
+@query
+def discover_tables(env: Env) -> DataFrame:
+    tables = gold(env)
+    found = sync.matching_tables(env.spark, ["synced", "churn", "customer_3", "next_best"], tables.database)
+    return quality.row_counts({name: tables[name] for name in found})
+
+
+# --- serving --------------------------------------------------------------------------------------
+@query
+def serve_risk_distribution(env: Env) -> DataFrame:
+    return serving.risk_distribution(gold(env)["gold_customer_churn_scores"])
+
+
+@query
+def serve_loyalty_distribution(env: Env) -> DataFrame:
+    return serving.loyalty_distribution(gold(env)["gold_customer_360"])
+
+
+@query
+def serve_top_high_risk(env: Env) -> DataFrame:
+    return serving.top_high_risk(gold(env)["gold_customer_churn_scores"])
+
+
+@query
+def serve_customer_search(env: Env) -> DataFrame:
+    tables = gold(env)
+    return serving.customer_search(tables["gold_customer_churn_scores"], tables["gold_customer_360"], " 12 ")
+
+
+@query
+def serve_customer_detail(env: Env) -> DataFrame:
+    tables = gold(env)
+    return serving.customer_detail(
+        tables["gold_customer_churn_scores"], tables["gold_customer_360"], tables["gold_next_best_actions"], 42
+    )
+
+
+@query
+def serve_nba_sample(env: Env) -> DataFrame:
+    return serving.nba_sample(gold(env)["gold_next_best_actions"])
+
+
+# --- streaming --------------------------------------------------------------------------------------
+def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[str, str]:
+    """Land each frame as JSON and run bronze and silver; with restart, half of the rows arrive later."""
+    silver_folders = {}
+    for dataset, rows in datasets.items():
+        base = fresh_path(env.spark, f"stream-{dataset}")
+        landing, bronze, refined = f"{base}/landing", f"{base}/bronze", f"{base}/silver"
+        half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+        arrivals = [rows.filter(half == 0), rows.filter(half == 1)] if restart else [rows]
+        for arrival in arrivals:
+            ingest.write_landing(arrival, landing)
+            schema = ingest.landing_schema(env.spark, landing, f"{base}/schema")
+            ingest.ingest(env.spark, landing, bronze, f"{base}/checkpoints/bronze", schema, 2, f"bronze_{dataset}")
+            ingest.refine(env.spark, dataset, bronze, refined, f"{base}/checkpoints/silver")
+        silver_folders[dataset] = refined
+    return silver_folders
+
+
+@query
+def ingest_stream_products(env: Env) -> DataFrame:
+    folders = _streamed(env, {"products": env.inputs.products()}, restart=True)
+    return env.spark.read.parquet(folders["products"])
+
+
+@query
+def ingest_stream_transactions(env: Env) -> DataFrame:
+    """Both channels streamed to silver, then conformed by the batch step over the streamed tables."""
+    folders = _streamed(env, {"orders": env.inputs.orders(), "pos": env.inputs.pos()}, restart=False)
+    return silver.transactions_unified(
+        env.spark.read.parquet(folders["orders"]), env.spark.read.parquet(folders["pos"])
+    )
+
+
+@query
+def stream_silver_orders(env: Env) -> DataFrame:
+    folders = _streamed(env, {"orders": env.inputs.dirty_orders()}, restart=True)
+    return env.spark.read.parquet(folders["orders"])
+
+
+@query
+def stream_quality_report(env: Env) -> DataFrame:
+    base = fresh_path(env.spark, "stream-quality")
+    silver.project_orders_p(env.inputs.dirty_orders()).write.parquet(f"{base}/bronze")
+    run = ingest.refine(env.spark, "orders", f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint", 2)
+    totals = ingest.observed_violations(run, "orders")
+    return ingest.violation_rows(env.spark, "orders", totals, quality.ORDER_RULES)
+
+
+# --- generated rows: one per key of a supplied table -----------------------------------------------------
+@query
+def gen_products(env: Env) -> DataFrame:
+    return generate.products(env.inputs.table("part"), "p_partkey")
+
+
+@query
+def gen_customers(env: Env) -> DataFrame:
+    return generate.customers(env.inputs.table("customer"), env.as_of, "c_custkey")
+
+
+@query
+def gen_loyalty(env: Env) -> DataFrame:
+    ids = env.inputs.table("customer")
+    return generate.loyalty(ids, env.as_of, ids.count(), "c_custkey")
+
+
+@query
+def gen_orders(env: Env) -> DataFrame:
+    sizes = [env.inputs.table(name).count() for name in ("customer", "part")]
+    return generate.orders(env.inputs.table("orders"), env.as_of, *sizes, key="o_orderkey")
+
+
+@query
+def gen_pos(env: Env) -> DataFrame:
+    sizes = [env.inputs.table(name).count() for name in ("customer", "part")]
+    return generate.pos(env.inputs.table("orders"), env.as_of, *sizes, key="o_orderkey")
+
+
+# --- machine learning -------------------------------------------------------------------------------------
+_NUMERIC_AND_LABEL = [*fixed.NUMERIC_FEATURES, fixed.LABEL]
+
+
+def recency_probability() -> Column:
+    """A churn probability any engine can compute: recency against a 90-day half-way point."""
+    days = F.col("days_since_last_purchase").cast("double")
+    return days / (days + 90.0)
+
+
+@query
+def profile_features(env: Env) -> DataFrame:
+    return rounded(mlprep.profile(env.features_n, _NUMERIC_AND_LABEL), "mean", "stddev", "q1", "median", "q3")
+
+
+@query
+def class_balance(env: Env) -> DataFrame:
+    return mlprep.class_balance(env.features_p)
+
+
+@query
+def class_weights(env: Env) -> DataFrame:
+    return mlprep.class_balance(env.features_p).select(fixed.LABEL, "class_weight")
+
+
+@query
+def feature_correlations(env: Env) -> DataFrame:
+    return rounded(mlprep.correlations(env.features_n, _NUMERIC_AND_LABEL), "correlation")
+
+
+@query
+def label_feature_ranking(env: Env) -> DataFrame:
+    return rounded(mlprep.label_correlations(env.features_p, fixed.NUMERIC_FEATURES), "abs_correlation")
+
+
+@query
+def feature_quantiles_by_label(env: Env) -> DataFrame:
+    return rounded(
+        mlprep.quantiles_by_label(env.features_n, fixed.BOX_PLOT_FEATURES), "min", "q1", "median", "q3", "max"
+    )
+
+
+@query
+def ml_prepared(env: Env) -> DataFrame:
+    return mlprep.fill_categories(env.features_n)
+
+
+@query
+def one_hot_features(env: Env) -> DataFrame:
+    prepared = mlprep.fill_categories(env.features_n).select("customer_id", *fixed.CATEGORICAL_FEATURES)
+    levels = mlprep.category_levels(prepared, fixed.CATEGORICAL_FEATURES)
+    return mlprep.one_hot(prepared, levels)
+
+
+def _split_n(env: Env) -> DataFrame:
+    return ranking.stratified_split(
+        env.features_n, fixed.LABEL, "customer_id", fixed.SPLIT_SHARES, fixed.SPLIT_SEED
+    )
+
+
+@query
+def stratified_split(env: Env) -> DataFrame:
+    return _split_n(env).select("customer_id", fixed.LABEL, "split")
+
+
+@query
+def imputed_features(env: Env) -> DataFrame:
+    split = _split_n(env).select("customer_id", "split", *fixed.NUMERIC_FEATURES)
+    medians = mlprep.fitted_medians(split.filter(F.col("split") == "train"), fixed.NUMERIC_FEATURES)
+    return mlprep.impute(split, medians)
+
+
+@query
+def scaled_features(env: Env) -> DataFrame:
+    split = _split_n(env).select("customer_id", "split", *fixed.NUMERIC_FEATURES)
+    scales = mlprep.fitted_scales(split.filter(F.col("split") == "train"), fixed.NUMERIC_FEATURES)
+    return rounded(mlprep.scale(split, scales), *fixed.NUMERIC_FEATURES)
+
+
+def _rule_predictions(env: Env) -> DataFrame:
+    """Noisy label, rule prediction (band High) and the recency probability, from one profile."""
+    scored = churn.add_scores_p(churn.add_features_p(env.profile_p))
+    return scored.select(
+        "customer_id",
+        fixed.LABEL,
+        "churn_score",
+        "churn_risk_band",
+        (F.col("churn_risk_band") == "High").cast("int").alias("rule_prediction"),
+        recency_probability().alias("ml_churn_probability"),
+        (recency_probability() >= 0.5).cast("int").alias("ml_prediction"),
+    )
+
+
+@query
+def binary_metrics(env: Env) -> DataFrame:
+    return mlprep.binary_metrics(_rule_predictions(env), fixed.LABEL, "rule_prediction")
+
+
+@query
+def roc_auc_rank(env: Env) -> DataFrame:
+    return rounded(ranking.rank_auc(_rule_predictions(env), "ml_churn_probability", fixed.LABEL), "roc_auc")
+
+
+@query
+def ml_vs_rules(env: Env) -> DataFrame:
+    return mlprep.compare_predictions(_rule_predictions(env), fixed.LABEL, "ml_prediction", "rule_prediction")
+
+
+@query
+def ml_vs_rules_disagreements(env: Env) -> DataFrame:
+    chosen = mlprep.top_disagreements(
+        _rule_predictions(env), "ml_prediction", "rule_prediction", "ml_churn_probability"
+    )
+    return chosen.select("customer_id", fixed.LABEL, "ml_churn_probability", "churn_score", "churn_risk_band")
+
+
+@query
+def deploy_reasons(env: Env) -> DataFrame:
+    return churn.add_reasons_ml(env.features_n).select("customer_id", "top_reason_1", "top_reason_2")
+
+
+@query
+def deploy_scores(env: Env) -> DataFrame:
+    return churn.scores_from_probability(env.features_n, recency_probability())
+
+
+@query
+def deploy_summary(env: Env) -> DataFrame:
+    return churn.risk_band_distribution(churn.scores_from_probability(env.features_n, recency_probability()))
+
+
+# trained once per folder and session, on the stored features with the noisy label
+_TRAINED: dict[tuple[str, str], dict[str, ml.Trained]] = {}
+_PREPARED: dict[tuple[str, str], tuple] = {}
+
+
+def _training_set(env: Env) -> tuple:
+    key = (env.spark.sparkContext.applicationId, env.folder)
+    if key not in _PREPARED:
+        base = fresh_path(env.spark, "models")
+        ml.split_frame(gold(env, "P")["gold_customer_churn_features"]).write.parquet(f"{base}/split")
+        split = env.spark.read.parquet(f"{base}/split")
+        train = ml.with_weights(split.filter(F.col("split") == "train"))
+        _PREPARED[key] = (base, split, train, train.count(), ml.fit_preparation(train))
+    return _PREPARED[key]
+
+
+def _trained(env: Env, name: str) -> ml.Trained:
+    models = _TRAINED.setdefault((env.spark.sparkContext.applicationId, env.folder), {})
+    if name not in models:
+        base, split, train, rows, prepared = _training_set(env)
+        models[name] = ml.train_candidate(name, prepared, split, train, rows, f"{base}/{name}")
+        ml.run_record(models[name]).write.mode("append").parquet(f"{base}/runs")
+    return models[name]
+
+
+def _all_runs(env: Env) -> DataFrame:
+    for name in ml.CANDIDATES:
+        _trained(env, name)
+    return env.spark.read.parquet(f"{_training_set(env)[0]}/runs")
+
+
+def _best(env: Env) -> ml.Trained:
+    return _trained(env, ml.leaderboard(_all_runs(env)).first().model)
+
+
+@query
+def ml_train_lr(env: Env) -> DataFrame:
+    return _trained(env, "logistic_regression").metrics
+
+
+@query
+def ml_train_rf(env: Env) -> DataFrame:
+    return _trained(env, "random_forest").metrics
+
+
+@query
+def ml_train_gbt(env: Env) -> DataFrame:
+    return _trained(env, "gradient_boosting").metrics
+
+
+@query
+def ml_train_gbt_weighted(env: Env) -> DataFrame:
+    return _trained(env, "gradient_boosting_weighted").metrics
+
+
+@query
+def model_runs(env: Env) -> DataFrame:
+    return _all_runs(env)
+
+
+@query
+def model_leaderboard(env: Env) -> DataFrame:
+    return ml.leaderboard(_all_runs(env))
+
+
+@query
+def feature_importance(env: Env) -> DataFrame:
+    return ml.feature_importance(_best(env).model, _training_set(env)[1])
+
+
+@query
+def ml_predictions(env: Env) -> DataFrame:
+    return ml.predict(_best(env).model, _training_set(env)[1])
+
+
+@query
+def ml_vs_rules_trained(env: Env) -> DataFrame:
+    """The trained model against the rules, per split: the train rows are labelled, not mixed in."""
+    rules = gold(env, "P")["gold_customer_churn_scores"].select(
+        "customer_id", (F.col("churn_risk_band") == "High").cast("int").alias("rule_prediction")
+    )
+    joined = ml.predict(_best(env).model, _training_set(env)[1]).join(rules, "customer_id")
+    return mlprep.compare_predictions(joined, fixed.LABEL, "ml_prediction", "rule_prediction", ["split"])
+
+
+@query
+def deploy_scores_trained(env: Env) -> DataFrame:
+    features = gold(env, "P")["gold_customer_churn_features"]
+    predicted = ml.predict(_best(env).model, ml.model_frame(features)).select("customer_id", "ml_churn_probability")
+    return churn.scores_from_probability(features.join(predicted, "customer_id"), F.col("ml_churn_probability"))

@@ -79,6 +79,7 @@ class RetailInputs:
                 F.col("n_name").alias("state"),
                 F.col("r_name").alias("country"),
             )
+            .filter(F.col("registration_date") <= self.as_of_day)
         )
 
     def loyalty(self) -> DataFrame:

@@ -32,12 +32,14 @@ customer_base AS (
   LEFT JOIN region ON n_regionkey = r_regionkey
 ),
 bronze_customers AS (
+  SELECT * FROM (
   SELECT * FROM customer_base
   UNION ALL
   SELECT customer_id, first_name, last_name, email,
          '+1-444-' || lpad(CAST(customer_id AS VARCHAR), 7, '0'),
          registration_date - 100, city, state, country
-  FROM customer_base WHERE customer_id % 20 = 0
+  FROM customer_base WHERE customer_id % 20 = 0)
+  WHERE registration_date <= {AS_OF}
 ),
 bronze_loyalty AS (
   SELECT c_custkey AS customer_id,

@@ -214,3 +214,421 @@ SELECT CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_busine
   (SELECT count(DISTINCT customer_id) FROM transactions) AS distinct_customers FROM kpis""",
     latest_kpis="SELECT * FROM kpis ORDER BY metric_date DESC, channel LIMIT 10",
 )
+
+# --- change feed and sync ------------------------------------------------------------------------
+EARLIER = "DATE '2001-07-02'"
+
+
+def _two_days(head: str, table: str) -> str:
+    """CTEs old_rows and new_rows: one gold table on two days."""
+    then = head.replace(p.AS_OF, EARLIER)
+    return f"WITH old_rows AS ({then} SELECT * FROM {table}), new_rows AS ({head} SELECT * FROM {table})"
+
+
+def _changes() -> str:
+    return """
+paired AS (
+  SELECT o, n, o.customer_id IS NOT NULL AS had, n.customer_id IS NOT NULL AS has
+  FROM old_rows o FULL JOIN new_rows n ON o.customer_id = n.customer_id
+),
+feed AS (
+  SELECT unnest(n), 'insert' AS _change_type FROM paired WHERE NOT had
+  UNION ALL SELECT unnest(o), 'delete' FROM paired WHERE NOT has
+  UNION ALL SELECT unnest(o), 'update_preimage' FROM paired WHERE had AND has AND o IS DISTINCT FROM n
+  UNION ALL SELECT unnest(n), 'update_postimage' FROM paired WHERE had AND has AND o IS DISTINCT FROM n
+)"""
+
+
+_SCORES_TWICE = _two_days(p.N, "n_scores")
+ORACLES["cdc_snapshot_diff"] = f"{_SCORES_TWICE}, {_changes()} SELECT * FROM feed"
+ORACLES["sync_upsert_merge"] = f"{p.N} SELECT * FROM n_scores"
+
+
+def _check(label: str, head: str, table: str, in_step: bool = False) -> str:
+    rows = f"WITH new_rows AS ({head} SELECT * FROM {table})"
+    rows += ", old_rows AS (SELECT * FROM new_rows)" if in_step else (
+        f", old_rows AS ({head.replace(p.AS_OF, EARLIER)} SELECT * FROM {table})"
+    )
+    return f"""
+SELECT *, missing_rows + extra_rows + different_rows = 0 AS in_sync FROM ({rows}
+SELECT '{label}' AS table_name, count(s.customer_id) AS source_rows, count(t.customer_id) AS target_rows,
+  count(*) FILTER (t.customer_id IS NULL) AS missing_rows, count(*) FILTER (s.customer_id IS NULL) AS extra_rows,
+  count(*) FILTER (s.customer_id IS NOT NULL AND t.customer_id IS NOT NULL AND s IS DISTINCT FROM t) AS different_rows
+FROM new_rows s FULL JOIN old_rows t ON s.customer_id = t.customer_id)"""
+
+
+ORACLES["sync_verify"] = " UNION ALL ".join(
+    [
+        _check("gold_customer_churn_scores", p.N, "n_scores"),
+        _check("gold_next_best_actions", p.N_ACTIONS, "n_actions"),
+        _check("gold_customer_360", p.N, "n_360"),
+        _check("gold_customer_churn_scores after sync", p.N, "n_scores", in_step=True),
+    ]
+)
+
+_ML_SCORES = """
+SELECT customer_id, CAST(round_even(probability * 100, 0) AS INTEGER) AS churn_score, churn_risk_band,
+  top_reason_1, top_reason_2,
+  CASE churn_risk_band WHEN 'High' THEN 'Send re-engagement campaign with 15% discount'
+    WHEN 'Medium' THEN 'Send personalized product recommendations'
+    ELSE 'Continue loyalty rewards program' END AS recommended_action
+FROM (
+  SELECT *, CASE WHEN probability >= 0.6 THEN 'High' WHEN probability >= 0.3 THEN 'Medium' ELSE 'Low' END AS churn_risk_band
+  FROM (
+    SELECT *, CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) AS probability,
+      CASE WHEN days_since_last_purchase > 180 THEN 'Extended purchase gap (180+ days)'
+           WHEN days_since_last_purchase > 90 THEN 'No recent engagement (90+ days)'
+           ELSE 'Declining engagement' END AS top_reason_1,
+      CASE WHEN transactions_last_90d < 3 THEN 'Low purchase frequency'
+           WHEN revenue_last_90d < 200 THEN 'Low revenue decline'
+           WHEN refund_return_rate > 0.1 THEN 'High refund rate'
+           ELSE 'Limited engagement' END AS top_reason_2
+    FROM n_features))"""
+
+_add(
+    p.N,
+    deploy_scores=_ML_SCORES,
+    deploy_reasons=f"SELECT customer_id, top_reason_1, top_reason_2 FROM ({_ML_SCORES})",
+    deploy_summary=f"""
+SELECT churn_risk_band, count(*) AS customer_count, CAST(sum(churn_score) AS DOUBLE) / count(*) AS avg_churn_score,
+  min(churn_score) AS min_score, max(churn_score) AS max_score FROM ({_ML_SCORES}) GROUP BY 1""",
+    current_scores=f"""
+SELECT m.*, 'model' AS score_source FROM ({_ML_SCORES}) m
+JOIN n_features f ON m.customer_id = f.customer_id AND f.days_since_last_purchase < 9999
+UNION ALL
+SELECT s.*, 'rule' FROM n_scores s
+JOIN n_features f ON s.customer_id = f.customer_id AND f.days_since_last_purchase >= 9999""",
+)
+
+# --- stored tables ---------------------------------------------------------------------------------
+ORACLES["write_roundtrip_overwrite"] = f"{p.N_KPIS} SELECT * FROM kpis WHERE channel = 'Ecommerce'"
+ORACLES["write_schema_replace"] = (
+    f"{p.N} SELECT customer_id, CAST(churn_score AS DOUBLE) AS churn_score, churn_risk_band FROM n_scores"
+)
+_add(
+    p.with_(p.BRONZE, p.SILVER_N, p.GOLD_N, p.ACTIONS_N, p.KPIS),
+    discover_tables="""
+SELECT 'gold_customer_360' AS table_name, count(*) AS row_count FROM n_360
+UNION ALL SELECT 'gold_customer_churn_features', count(*) FROM n_features
+UNION ALL SELECT 'gold_customer_churn_scores', count(*) FROM n_scores
+UNION ALL SELECT 'gold_next_best_actions', count(*) FROM n_actions""",
+)
+
+# --- serving ------------------------------------------------------------------------------------------
+_add(
+    p.N_ACTIONS,
+    serve_risk_distribution="""
+SELECT total_customers, churn_risk_band, count(customer_id) AS customer_count,
+  count(customer_id) * 100.0 / total_customers AS pct
+FROM (VALUES ('High'), ('Medium'), ('Low')) b(churn_risk_band)
+LEFT JOIN n_scores USING (churn_risk_band), (SELECT count(*) AS total_customers FROM n_scores) GROUP BY 1, 2""",
+    serve_loyalty_distribution="""
+SELECT coalesce(loyalty_tier, 'Non-Member') AS tier, count(*) AS customer_count,
+  count(*) * 100.0 / (SELECT count(*) FROM n_360) AS pct FROM n_360 GROUP BY 1""",
+    serve_top_high_risk="""
+SELECT customer_id, churn_score, top_reason_1, top_reason_2, recommended_action FROM n_scores
+WHERE churn_risk_band = 'High' ORDER BY churn_score DESC, customer_id LIMIT 10""",
+    serve_customer_search="""
+SELECT s.customer_id, full_name, churn_risk_band, churn_score, top_reason_1
+FROM n_scores s LEFT JOIN n_360 z ON s.customer_id = z.customer_id
+WHERE CAST(s.customer_id AS VARCHAR) ILIKE '%12%' ORDER BY s.customer_id LIMIT 20""",
+    serve_customer_detail="""
+SELECT s.customer_id, s.churn_score, s.churn_risk_band, top_reason_1, top_reason_2, z.full_name, z.loyalty_tier,
+  z.total_revenue, total_transactions, days_since_last_purchase, z.preferred_channel, customer_summary
+FROM n_scores s LEFT JOIN n_360 z ON s.customer_id = z.customer_id
+LEFT JOIN n_actions a ON s.customer_id = a.customer_id WHERE s.customer_id = 42""",
+    serve_nba_sample="SELECT customer_id, customer_summary FROM n_actions ORDER BY customer_id LIMIT 5",
+)
+
+# --- streams: the same rows as in batch -------------------------------------------------------------------
+ORACLES["ingest_stream_products"] = ORACLES["silver_products_p"]
+ORACLES["ingest_stream_transactions"] = ORACLES["silver_transactions_unified"]
+ORACLES["stream_silver_orders"] = ORACLES["dq_expect_or_drop"]
+_add(
+    p.RAW_DIRTY,
+    stream_quality_report=" UNION ALL ".join(
+        [
+            _rule("orders", "dirty_orders", "valid_order_id", "order_id IS NOT NULL", "drop"),
+            _rule("orders", "dirty_orders", "valid_amount", "order_amount >= 0"),
+            _rule("orders", "dirty_orders", "valid_quantity", "quantity > 0"),
+        ]
+    ),
+)
+
+
+# --- generated rows ------------------------------------------------------------------------------------------
+def _u(key: str, stream: str) -> str:
+    return f"(CAST('0x' || substr(md5({key} || '|{stream}|42'), 1, 12) AS BIGINT) / 281474976710656.0e0)"
+
+
+def _whole(draw: str, low: int, high: int) -> str:
+    return f"CAST(floor({draw} * {high - low + 1}) + {low} AS INTEGER)"
+
+
+def _real(draw: str, low: float, high: float) -> str:
+    return f"({draw} * {high - low!r}e0 + {low!r}e0)"
+
+
+def _pick(draw: str, values) -> str:
+    names = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return f"([{names}])[{_whole(draw, 1, len(values))}]"
+
+
+def _weighted(draw: str, weighted) -> str:
+    total, running, steps = float(sum(w for _, w in weighted)), 0.0, []
+    for value, weight in weighted:
+        running += weight
+        shown = f"'{value}'" if isinstance(value, str) else str(value)
+        steps.append(f"WHEN {draw} < {running / total!r}e0 THEN {shown}")
+    steps[-1] = "ELSE " + steps[-1].split(" THEN ")[1]
+    return "CASE " + " ".join(steps) + " END"
+
+
+def _code(prefix: str, digits: int, number: str) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"'{prefix}' || lpad({text}, CAST(greatest({digits}, length({text})) AS INTEGER), '0')"
+
+
+def _generated() -> None:
+    from keepwell.sources import generate as g  # vocabularies and weights only
+
+    k = "p_partkey"
+    price = "CASE category " + " ".join(
+        f"WHEN '{name}' THEN {_real(_u(k, 'price'), *span)}" for name, span in g.PRICE_RANGES.items()
+    ) + f" ELSE {_real(_u(k, 'price'), *g.OTHER_PRICES)} END"
+    ORACLES["gen_products"] = f"""
+SELECT {_code('SKU', 5, k)} AS product_id,
+  {_pick(_u(k, 'name'), g.BRANDS)} || ' ' || category || ' Item ' || {k} AS product_name, category,
+  {_pick(_u(k, 'brand'), g.BRANDS)} AS brand, round({price}, 2) AS price
+FROM (SELECT {k}, {_pick(_u(k, 'category'), g.CATEGORIES)} AS category FROM part)"""
+
+    k = "c_custkey"
+    start = f"({p.AS_OF} - {g.HISTORY_DAYS})"
+    ORACLES["gen_customers"] = f"""
+SELECT {_code('CUST', 6, k)} AS customer_id, first_name, last_name,
+  lower(first_name) || '.' || lower(last_name) || {_whole(_u(k, 'mail'), 1, 999)} || '@'
+    || {_pick(_u(k, 'domain'), g.MAIL_DOMAINS)} AS email,
+  '+1-' || {_whole(_u(k, 'area'), 200, 999)} || '-' || {_whole(_u(k, 'exchange'), 100, 999)} || '-'
+    || {_whole(_u(k, 'line'), 1000, 9999)} AS phone,
+  {start} + {_whole(_u(k, 'registered'), 0, g.HISTORY_DAYS)} AS registration_date,
+  {_pick(_u(k, 'city'), [c for c, _ in g.CITY_STATES])} AS city,
+  {_pick(_u(k, 'city'), [s for _, s in g.CITY_STATES])} AS state, 'USA' AS country
+FROM (SELECT {k}, {_pick(_u(k, 'first'), g.FIRST_NAMES)} AS first_name,
+        {_pick(_u(k, 'last'), g.LAST_NAMES)} AS last_name FROM customer)"""
+
+    age = f"({k} / CAST((SELECT count(*) FROM customer) AS DOUBLE) * {float(g.HISTORY_DAYS)!r}e0)"
+    tier = "CASE " + " ".join(
+        f"WHEN {age} > {days} THEN {_weighted(_u(k, 'tier'), weights)}" for days, weights in g.TIER_WEIGHTS
+    ) + " END"
+    points = "CASE loyalty_tier " + " ".join(
+        f"WHEN '{name}' THEN {_whole(_u(k, 'points'), *span)}" for name, span in g.POINT_RANGES.items()
+    ) + " END"
+    ORACLES["gen_loyalty"] = f"""
+SELECT {_code('CUST', 6, k)} AS customer_id, loyalty_tier, CAST({points} AS BIGINT) AS points_balance,
+  {start} + CAST(floor({age}) AS INTEGER) + {_whole(_u(k, 'joined'), 30, 180)} AS member_since, 'Active' AS status
+FROM (SELECT {k}, {tier} AS loyalty_tier FROM customer
+      QUALIFY row_number() OVER (ORDER BY md5({k} || '|loyalty|42')) - 1 < round(count(*) OVER () * 0.7e0))"""
+
+    k, customers, parts = "o_orderkey", "(SELECT count(*) FROM customer)", "(SELECT count(*) FROM part)"
+
+    def spread(draw: str, count: str, first: str = "1") -> str:
+        return f"(CAST(floor({draw} * CAST({count} AS DOUBLE)) AS BIGINT) + {first})"
+
+    def amount(stream: str, unit, share: float, discounts) -> str:
+        base = f"({_real(_u(k, stream + '-unit'), *unit)} * quantity)"
+        cut = f"CAST({_pick(_u(k, stream + '-cut'), discounts)} AS DOUBLE)"
+        return f"round(CASE WHEN {_u(k, stream + '-discounted')} < {share} THEN {base} * (1 - {cut}) ELSE {base} END, 2)"
+
+    busy = f"round({customers} * 0.2e0)"
+    draw = _u(k, "order-customer")
+    ORACLES["gen_orders"] = f"""
+SELECT {_code('EC', 8, k)} AS order_id,
+  {_code('CUST', 6, f"CASE WHEN {_u(k, 'order-busy')} < 0.8 THEN {spread(draw, busy)} ELSE CAST({spread(draw, f'({customers} - {busy})', f'{busy} + 1')} AS BIGINT) END")} AS customer_id,
+  {_code('SKU', 5, spread(_u(k, 'order-product'), parts))} AS product_id,
+  CAST({p.AS_OF} - CAST(least(floor(-ln(1 - {_u(k, 'order-recency')}) * {g.MEAN_RECENCY_DAYS}), {g.SALES_DAYS}) AS INTEGER) AS TIMESTAMP) AS order_date,
+  CAST(quantity AS BIGINT) AS quantity,
+  {amount('order', g.ORDER_UNIT_PRICE, g.ORDER_DISCOUNT_SHARE, g.ORDER_DISCOUNTS)} AS order_amount,
+  {_weighted(_u(k, 'order-status'), g.ORDER_STATUSES)} AS order_status, 'Ecommerce' AS channel,
+  {_pick(_u(k, 'order-payment'), g.ORDER_PAYMENTS)} AS payment_method
+FROM (SELECT {k}, {_weighted(_u(k, 'order-quantity'), g.ORDER_QUANTITIES)} AS quantity FROM orders)"""
+
+    stores = ", ".join(
+        f"{_pick(_u(k, 'pos-store'), [row[i] for row in g.STORES])} AS {name}"
+        for i, name in enumerate(("store_id", "store_name", "store_city", "store_state"))
+    )
+    ORACLES["gen_pos"] = f"""
+SELECT {_code('POS', 8, k)} AS transaction_id,
+  CASE WHEN {_u(k, 'pos-known')} >= 0.4 THEN {_code('CUST', 6, spread(_u(k, 'pos-customer'), customers))} END AS customer_id,
+  {_code('SKU', 5, spread(_u(k, 'pos-product'), parts))} AS product_id,
+  CAST({p.AS_OF} - {_whole(_u(k, 'pos-day'), 0, g.SALES_DAYS)} AS TIMESTAMP) AS transaction_date,
+  CAST(quantity AS BIGINT) AS quantity,
+  {amount('pos', g.POS_UNIT_PRICE, g.POS_DISCOUNT_SHARE, g.POS_DISCOUNTS)} AS transaction_amount,
+  {_weighted(_u(k, 'pos-status'), g.POS_STATUSES)} AS transaction_status, 'In-Store' AS channel, {stores},
+  {_pick(_u(k, 'pos-payment'), g.POS_PAYMENTS)} AS payment_method
+FROM (SELECT {k}, {_weighted(_u(k, 'pos-quantity'), g.POS_QUANTITIES)} AS quantity FROM orders)"""
+
+
+_generated()
+
+# --- features and models ------------------------------------------------------------------------------------------
+_NUMERIC = [
+    "points_balance", "customer_tenure_days", "days_since_last_purchase", "transactions_last_30d",
+    "transactions_last_90d", "revenue_last_30d", "revenue_last_90d", "avg_order_value", "refund_return_rate",
+]
+_WITH_LABEL = [*_NUMERIC, "churn_label_proxy"]
+
+
+def _long(columns: list[str], measures: dict[str, str], table: str, extra: str = "") -> str:
+    """One row per column from a single aggregate row; {c} stands for the column."""
+    names = {(m, c): f"m{j}_{i}" for i, c in enumerate(columns) for j, m in enumerate(measures)}
+    computed = ", ".join(f"{measures[m].replace('{c}', c)} AS {n}" for (m, c), n in names.items())
+    rows = ", ".join(
+        "{'feature': '" + c + "', " + ", ".join(f"'{m}': {names[m, c]}" for m in measures) + "}" for c in columns
+    )
+    group = f" GROUP BY {extra}" if extra else ""
+    head = f"{extra}, " if extra else ""
+    return f"SELECT {head}unnest([{rows}], recursive := true) FROM (SELECT {head}{computed} FROM {table}{group})"
+
+
+_ROUND = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+_pairs = [(a, b) for i, a in enumerate(_WITH_LABEL) for b in _WITH_LABEL[i + 1 :]]
+_SPLIT = """
+split_rows AS (
+  SELECT *, CASE WHEN place < whole * 0.7e0 THEN 'train' WHEN place < whole * 0.85e0 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY churn_label_proxy ORDER BY md5(customer_id || '|split|42')) - 1 AS place,
+          count(*) OVER (PARTITION BY churn_label_proxy) AS whole FROM n_features)
+)"""
+_train = "(SELECT * FROM split_rows WHERE split = 'train')"
+
+
+def _levels(column: str, names: list[str]) -> str:
+    return ", ".join(f"CAST({column} = '{n}' AS INTEGER) AS \"{column}_{n}\"" for n in names)
+
+
+_add(
+    p.N,
+    profile_features=_long(
+        _WITH_LABEL,
+        {
+            "row_count": "count(*)",
+            "missing": "count(*) - count({c})",
+            "mean": "round(avg({c}), 6)",
+            "stddev": "round(stddev_samp({c}), 6)",
+            "min": "CAST(min({c}) AS DOUBLE)",
+            "max": "CAST(max({c}) AS DOUBLE)",
+            **{n: f"round(quantile_cont(CAST({{c}} AS DOUBLE), {q}), 6)" for n, q in _ROUND.items()},
+        },
+        "n_features",
+    ),
+    feature_correlations=(
+        "SELECT unnest(["
+        + ", ".join(f"{{'feature_a': '{a}', 'feature_b': '{b}', 'correlation': c{i}}}" for i, (a, b) in enumerate(_pairs))
+        + "], recursive := true) FROM (SELECT "
+        + ", ".join(f"round(corr({a}, {b}), 6) AS c{i}" for i, (a, b) in enumerate(_pairs))
+        + " FROM n_features)"
+    ),
+    feature_quantiles_by_label=_long(
+        ["days_since_last_purchase", "transactions_last_90d", "revenue_last_90d", "refund_return_rate"],
+        {
+            n: f"round(quantile_cont(CAST({{c}} AS DOUBLE), {q}), 6)"
+            for n, q in {"min": 0, **_ROUND, "max": 1}.items()
+        },
+        "n_features",
+        "churn_label_proxy",
+    ),
+    ml_prepared="""
+SELECT * REPLACE (coalesce(loyalty_tier, 'Unknown') AS loyalty_tier, coalesce(preferred_channel, 'Unknown') AS preferred_channel,
+  coalesce(favorite_category, 'Unknown') AS favorite_category) FROM n_features""",
+    one_hot_features=f"""
+SELECT customer_id, {_levels('loyalty_tier', ['Gold', 'Platinum', 'Silver', 'Unknown'])},
+  {_levels('preferred_channel', ['In-Store', 'Unknown'])},
+  {_levels('favorite_category', ['Large', 'Medium', 'Promo', 'Small', 'Standard', 'Unknown'])}
+FROM (SELECT customer_id, coalesce(loyalty_tier, 'Unknown') AS loyalty_tier,
+  coalesce(preferred_channel, 'Unknown') AS preferred_channel, coalesce(favorite_category, 'Unknown') AS favorite_category
+  FROM n_features)""",
+)
+_add(
+    p.with_(p.BRONZE, p.SILVER_N, p.GOLD_N, _SPLIT),
+    stratified_split="SELECT customer_id, churn_label_proxy, split FROM split_rows",
+    imputed_features="SELECT customer_id, split, "
+    + ", ".join(
+        f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM {_train})) AS {c}"
+        for c in _NUMERIC
+    )
+    + " FROM split_rows",
+    scaled_features="SELECT customer_id, split, "
+    + ", ".join(f"round(({c} - mean_{c}) / dev_{c}, 6) AS {c}" for c in _NUMERIC)
+    + " FROM split_rows, (SELECT "
+    + ", ".join(f"avg({c}) AS mean_{c}, stddev_pop({c}) AS dev_{c}" for c in _NUMERIC)
+    + f" FROM {_train})",
+)
+
+_PREDICTIONS = """
+predictions AS (
+  SELECT f.customer_id, churn_label_proxy, churn_score, churn_risk_band,
+    CAST(churn_risk_band = 'High' AS INTEGER) AS rule_prediction,
+    CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) AS ml_churn_probability,
+    CAST(CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) >= 0.5 AS INTEGER) AS ml_prediction
+  FROM p_features f JOIN p_scores s ON f.customer_id = s.customer_id
+)"""
+
+
+def _counts(prediction: str) -> str:
+    said = f"{prediction} = 1"
+    return ", ".join(
+        f"count(*) FILTER ({label} AND {claim}) AS {name}"
+        for name, label, claim in [
+            ("tp", "churn_label_proxy = 1", said),
+            ("fp", "churn_label_proxy = 0", said),
+            ("fn", "churn_label_proxy = 1", f"NOT {said}"),
+            ("tn", "churn_label_proxy = 0", f"NOT {said}"),
+        ]
+    )
+
+
+def _share(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) ELSE 0.0 END"
+
+
+_RATES = f"""{_share('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {_share('tp * 2', 'tp * 2 + fp + fn')} AS f1"""
+
+_add(
+    p.P,
+    class_balance="""
+SELECT churn_label_proxy, n AS customer_count, n * 100.0 / total AS pct,
+  CAST(total AS DOUBLE) / (classes * n) AS class_weight, CAST(largest AS DOUBLE) / smallest AS imbalance_ratio
+FROM (SELECT churn_label_proxy, count(*) AS n FROM p_features GROUP BY 1),
+  (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS classes, max(n) AS largest, min(n) AS smallest
+   FROM (SELECT count(*) AS n FROM p_features GROUP BY churn_label_proxy))""",
+    class_weights="""
+SELECT churn_label_proxy, CAST(total AS DOUBLE) / (2 * n) AS class_weight
+FROM (SELECT churn_label_proxy, count(*) AS n FROM p_features GROUP BY 1), (SELECT count(*) AS total FROM p_features)""",
+    label_feature_ranking=_long(
+        _NUMERIC, {"abs_correlation": "round(abs(corr({c}, churn_label_proxy)), 6)"}, "p_features"
+    ),
+)
+_add(
+    p.with_(p.BRONZE, p.SILVER_P, p.GOLD_P, _PREDICTIONS),
+    binary_metrics=f"""
+SELECT *, {_share('tp', 'tp + fp')} AS precision, {_share('tp', 'tp + fn')} AS recall, {_RATES}
+FROM (SELECT {_counts('rule_prediction')} FROM predictions)""",
+    roc_auc_rank="""
+SELECT positives, negatives,
+  round((rank_sum - positives * (positives + 1) / 2.0e0) / (CAST(positives AS DOUBLE) * negatives), 6) AS roc_auc
+FROM (SELECT count(*) FILTER (churn_label_proxy = 1) AS positives, count(*) FILTER (churn_label_proxy = 0) AS negatives,
+        sum(CAST(mean_rank AS DOUBLE)) FILTER (churn_label_proxy = 1) AS rank_sum
+      FROM (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY ml_churn_probability) - 1) / 2.0e0 AS mean_rank
+            FROM predictions WINDOW w AS (ORDER BY ml_churn_probability)))""",
+    ml_vs_rules=f"""
+SELECT customers, agreements, model_high_only, rule_high_only, m.f1 AS model_f1, m.accuracy AS model_accuracy,
+  r.f1 AS rule_f1, r.accuracy AS rule_accuracy, {_share('agreements', 'customers')} AS agreement_rate,
+  CASE WHEN r.f1 > 0 THEN (m.f1 - r.f1) * 100 / r.f1 ELSE 0.0 END AS f1_gain_pct
+FROM (SELECT count(*) AS customers, count(*) FILTER (ml_prediction = rule_prediction) AS agreements,
+        count(*) FILTER (ml_prediction = 1 AND rule_prediction = 0) AS model_high_only,
+        count(*) FILTER (ml_prediction = 0 AND rule_prediction = 1) AS rule_high_only FROM predictions),
+  (SELECT {_RATES} FROM (SELECT {_counts('ml_prediction')} FROM predictions)) m,
+  (SELECT {_RATES} FROM (SELECT {_counts('rule_prediction')} FROM predictions)) r""",
+    ml_vs_rules_disagreements="""
+SELECT customer_id, churn_label_proxy, ml_churn_probability, churn_score, churn_risk_band FROM predictions
+WHERE ml_prediction <> rule_prediction ORDER BY ml_churn_probability DESC, customer_id LIMIT 10""",
+)
