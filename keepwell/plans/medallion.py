@@ -34,12 +34,13 @@ def refresh_gold(
     """Publish the gold tables of a variant from its customer profile.
 
     Joins and aggregates run once, for the profile; 360, features, scores and
-    actions are row-wise projections of the stored rows.
+    actions are row-wise projections of the stored rows. All customer tables share
+    one bucketing on customer_id.
     """
     create_database(spark, database, f"Customer gold tables, variant {variant}")
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        return publish(df, f"{database}.{name}", base, COMMENTS[name])
+    def put(name: str, df: DataFrame, key: str | None = "customer_id") -> DataFrame:
+        return publish(df, f"{database}.{name}", base, COMMENTS[name], key)
 
     stored = put("customer_profile", profile)
     if variant == "N":
@@ -55,5 +56,5 @@ def refresh_gold(
     put("gold_customer_churn_scores", scored.select(*churn.SCORES))
     put("gold_next_best_actions", rows.select(*actions.ACTIONS))
     if kpis is not None:
-        put("gold_executive_kpis", kpis)
+        put("gold_executive_kpis", kpis, key=None)
     return GoldTables(spark, database)

@@ -146,6 +146,25 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
+_DATABASES: dict[tuple[str, str, str], GoldTables] = {}
+
+
+def gold(env: Env, variant: str = "N") -> GoldTables:
+    """The gold tables of a folder, refreshed once per session into the shared folder."""
+    key = (env.spark.sparkContext.applicationId, env.folder, variant)
+    if key not in _DATABASES:
+        database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
+        profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
+        _DATABASES[key] = refresh_gold(
+            env.spark, database, fresh_path(env.spark, "gold"), profile, daily, variant
+        )
+    return _DATABASES[key]
+
+
+def features(env: Env, variant: str = "N") -> DataFrame:
+    return gold(env, variant)["gold_customer_churn_features"]
+
+
 # --- quality ----------------------------------------------------------------------
 @query
 def dq_expectation_report(env: Env) -> DataFrame:
@@ -181,7 +200,7 @@ def dq_validity_summary(env: Env) -> DataFrame:
 
 @query
 def dq_null_counts(env: Env) -> DataFrame:
-    return quality.null_counts(env.c360_n, ["customer_id", "total_revenue", "email", "loyalty_tier"])
+    return quality.null_counts(gold(env)["gold_customer_360"], ["customer_id", "total_revenue", "email", "loyalty_tier"])
 
 
 @query
@@ -474,17 +493,17 @@ def churn_scores_p(env: Env) -> DataFrame:
 
 @query
 def label_distribution(env: Env) -> DataFrame:
-    return churn.label_distribution(env.features_n)
+    return churn.label_distribution(features(env))
 
 
 @query
 def risk_band_distribution(env: Env) -> DataFrame:
-    return churn.risk_band_distribution(env.scores_n)
+    return churn.risk_band_distribution(gold(env)["gold_customer_churn_scores"])
 
 
 @query
 def top_risk_customers(env: Env) -> DataFrame:
-    return churn.top_risk(env.scores_n)
+    return churn.top_risk(gold(env)["gold_customer_churn_scores"])
 
 
 # --- actions and KPIs -----------------------------------------------------------------------
@@ -500,12 +519,12 @@ def next_best_actions_p(env: Env) -> DataFrame:
 
 @query
 def campaign_volume(env: Env) -> DataFrame:
-    return actions.campaign_volume(env.actions_n)
+    return actions.campaign_volume(gold(env)["gold_next_best_actions"])
 
 
 @query
 def high_risk_sample(env: Env) -> DataFrame:
-    return actions.high_risk_sample(env.actions_n)
+    return actions.high_risk_sample(gold(env)["gold_next_best_actions"])
 
 
 @query
@@ -515,35 +534,20 @@ def executive_kpis(env: Env) -> DataFrame:
 
 @query
 def kpi_channel_summary(env: Env) -> DataFrame:
-    return rounded(kpis.channel_summary(env.kpis), "avg_order_value", "avg_refund_rate")
+    return rounded(kpis.channel_summary(gold(env)["gold_executive_kpis"]), "avg_order_value", "avg_refund_rate")
 
 
 @query
 def kpi_overall(env: Env) -> DataFrame:
-    return kpis.overall(env.kpis, env.transactions)
+    return kpis.overall(gold(env)["gold_executive_kpis"], env.transactions)
 
 
 @query
 def latest_kpis(env: Env) -> DataFrame:
-    return kpis.latest(env.kpis)
-
-
-# --- stored gold tables, change feed and sync -------------------------------------------------
-_DATABASES: dict[tuple[str, str, str], GoldTables] = {}
-
-
-def gold(env: Env, variant: str = "N") -> GoldTables:
-    """The gold tables of a folder, refreshed once per session into the shared folder."""
-    key = (env.spark.sparkContext.applicationId, env.folder, variant)
-    if key not in _DATABASES:
-        database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
-        profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
-        _DATABASES[key] = refresh_gold(
-            env.spark, database, fresh_path(env.spark, "gold"), profile, daily, variant
-        )
-    return _DATABASES[key]
+    return kpis.latest(gold(env)["gold_executive_kpis"])
 
 
+# --- change feed and sync -----------------------------------------------------------------------
 EARLIER_AS_OF = "2001-07-02"
 
 
@@ -751,51 +755,51 @@ def recency_probability() -> Column:
 
 @query
 def profile_features(env: Env) -> DataFrame:
-    return rounded(mlprep.profile(env.features_n, _NUMERIC_AND_LABEL), "mean", "stddev", "q1", "median", "q3")
+    return rounded(mlprep.profile(features(env), _NUMERIC_AND_LABEL), "mean", "stddev", "q1", "median", "q3")
 
 
 @query
 def class_balance(env: Env) -> DataFrame:
-    return mlprep.class_balance(env.features_p)
+    return mlprep.class_balance(features(env, "P"))
 
 
 @query
 def class_weights(env: Env) -> DataFrame:
-    return mlprep.class_balance(env.features_p).select(fixed.LABEL, "class_weight")
+    return mlprep.class_balance(features(env, "P")).select(fixed.LABEL, "class_weight")
 
 
 @query
 def feature_correlations(env: Env) -> DataFrame:
-    return rounded(mlprep.correlations(env.features_n, _NUMERIC_AND_LABEL), "correlation")
+    return rounded(mlprep.correlations(features(env), _NUMERIC_AND_LABEL), "correlation")
 
 
 @query
 def label_feature_ranking(env: Env) -> DataFrame:
-    return rounded(mlprep.label_correlations(env.features_p, fixed.NUMERIC_FEATURES), "abs_correlation")
+    return rounded(mlprep.label_correlations(features(env, "P"), fixed.NUMERIC_FEATURES), "abs_correlation")
 
 
 @query
 def feature_quantiles_by_label(env: Env) -> DataFrame:
     return rounded(
-        mlprep.quantiles_by_label(env.features_n, fixed.BOX_PLOT_FEATURES), "min", "q1", "median", "q3", "max"
+        mlprep.quantiles_by_label(features(env), fixed.BOX_PLOT_FEATURES), "min", "q1", "median", "q3", "max"
     )
 
 
 @query
 def ml_prepared(env: Env) -> DataFrame:
-    return mlprep.fill_categories(env.features_n)
+    return mlprep.fill_categories(features(env))
 
 
 @query
 def one_hot_features(env: Env) -> DataFrame:
-    prepared = mlprep.fill_categories(env.features_n).select("customer_id", *fixed.CATEGORICAL_FEATURES)
+    prepared = mlprep.fill_categories(features(env)).select("customer_id", *fixed.CATEGORICAL_FEATURES)
     levels = mlprep.category_levels(prepared, fixed.CATEGORICAL_FEATURES)
     return mlprep.one_hot(prepared, levels)
 
 
 def _split_n(env: Env) -> DataFrame:
     return ranking.stratified_split(
-        env.features_n, fixed.LABEL, "customer_id", fixed.SPLIT_SHARES, fixed.SPLIT_SEED
+        features(env), fixed.LABEL, "customer_id", fixed.SPLIT_SHARES, fixed.SPLIT_SEED
     )
 
 
@@ -820,7 +824,7 @@ def scaled_features(env: Env) -> DataFrame:
 
 def _rule_predictions(env: Env) -> DataFrame:
     """Noisy label, rule prediction (band High) and the recency probability, from one profile."""
-    scored = churn.add_scores_p(churn.add_features_p(env.profile_p))
+    scored = churn.add_scores_p(churn.add_features_p(gold(env, "P")["customer_profile"]))
     return scored.select(
         "customer_id",
         fixed.LABEL,
@@ -857,17 +861,17 @@ def ml_vs_rules_disagreements(env: Env) -> DataFrame:
 
 @query
 def deploy_reasons(env: Env) -> DataFrame:
-    return churn.add_reasons_ml(env.features_n).select("customer_id", "top_reason_1", "top_reason_2")
+    return churn.add_reasons_ml(features(env)).select("customer_id", "top_reason_1", "top_reason_2")
 
 
 @query
 def deploy_scores(env: Env) -> DataFrame:
-    return churn.scores_from_probability(env.features_n, recency_probability())
+    return churn.scores_from_probability(features(env), recency_probability())
 
 
 @query
 def deploy_summary(env: Env) -> DataFrame:
-    return churn.risk_band_distribution(churn.scores_from_probability(env.features_n, recency_probability()))
+    return churn.risk_band_distribution(churn.scores_from_probability(features(env), recency_probability()))
 
 
 # trained once per folder and session, on the stored features with the noisy label
@@ -879,7 +883,7 @@ def _training_set(env: Env) -> tuple:
     key = (env.spark.sparkContext.applicationId, env.folder)
     if key not in _PREPARED:
         base = fresh_path(env.spark, "models")
-        ml.split_frame(gold(env, "P")["gold_customer_churn_features"]).write.parquet(f"{base}/split")
+        ml.split_frame(features(env, "P")).write.parquet(f"{base}/split")
         split = env.spark.read.parquet(f"{base}/split")
         train = ml.with_weights(split.filter(F.col("split") == "train"))
         _PREPARED[key] = (base, split, train, train.count(), ml.fit_preparation(train))
@@ -957,6 +961,6 @@ def ml_vs_rules_trained(env: Env) -> DataFrame:
 
 @query
 def deploy_scores_trained(env: Env) -> DataFrame:
-    features = gold(env, "P")["gold_customer_churn_features"]
-    predicted = ml.predict(_best(env).model, ml.model_frame(features)).select("customer_id", "ml_churn_probability")
-    return churn.scores_from_probability(features.join(predicted, "customer_id"), F.col("ml_churn_probability"))
+    scored = features(env, "P")
+    predicted = ml.predict(_best(env).model, ml.model_frame(scored)).select("customer_id", "ml_churn_probability")
+    return churn.scores_from_probability(scored.join(predicted, "customer_id"), F.col("ml_churn_probability"))

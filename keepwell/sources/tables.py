@@ -1,8 +1,9 @@
 """Catalogue tables over immutable snapshot folders.
 
-Every refresh writes a new folder and then points the table at it. A reader, or
-the job that computes the refresh from the same table, keeps the old files; a
-failed write leaves the table as it was; each snapshot carries its own schema.
+Every refresh writes a new folder under a staging name and then takes over the
+table's name. A reader, or the job that computes the refresh from the same table,
+keeps the old files; a failed write leaves the table as it was; each snapshot
+carries its own schema.
 """
 
 from __future__ import annotations
@@ -14,27 +15,42 @@ from pyspark.sql import functions as F
 
 
 def create_database(spark: SparkSession, database: str, comment: str = "") -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} COMMENT :comment", args={"comment": comment})
+    quoted = comment.replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} COMMENT '{quoted}'")
 
 
-def publish(df: DataFrame, table: str, base: str, comment: str = "") -> DataFrame:
+def publish(
+    df: DataFrame,
+    table: str,
+    base: str,
+    comment: str = "",
+    bucket_key: str | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
     """Write df as the new content of a table and return the table.
 
-    The snapshot may have another schema than the last one.
+    With a bucket key, rows are bucketed and sorted on it: joins of such tables on the
+    key (serving lookups, snapshot diff, sync) need no shuffle, and a lookup of one
+    key reads one bucket. The default bucket count is the shuffle partition count, so
+    a frame already partitioned on the key writes one file per bucket.
     """
     spark = df.sparkSession
-    location = f"{base.rstrip('/')}/{table.replace('.', '/')}/snapshot-{uuid.uuid4().hex}"
-    df.write.parquet(location)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
-    spark.catalog.createTable(table, path=location, source="parquet", description=comment)
+    run = uuid.uuid4().hex
+    staging = f"{table}_staging_{run[:12]}"
+    location = f"{base.rstrip('/')}/{table.replace('.', '/')}/snapshot-{run}"
+    writer = df.write.format("parquet").option("path", location)
+    if bucket_key:
+        count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(count, bucket_key).sortBy(bucket_key)
+    writer.saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the old files stay
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if comment:
+        quoted = comment.replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
     return spark.table(table)
 
 
-def append(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def manifest(spark: SparkSession, database: str, tables: list[str]) -> DataFrame:
     """Name, comment, column count and rows of published tables."""
     described = {table.name: table.description for table in spark.catalog.listTables(database)}
@@ -43,7 +59,7 @@ def manifest(spark: SparkSession, database: str, tables: list[str]) -> DataFrame
         frame = spark.table(f"{database}.{name}")
         counted = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"),
-            F.lit(described.get(name)).alias("comment"),
+            F.lit(described.get(name)).cast("string").alias("comment"),
             F.lit(len(frame.columns)).alias("column_count"),
             "row_count",
         )

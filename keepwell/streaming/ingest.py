@@ -6,6 +6,8 @@ availableNow: a run takes what has arrived since the last one and stops.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,10 +22,11 @@ def write_landing(df: DataFrame, folder: str, files: int = 3) -> None:
     df.repartition(files).write.mode("append").json(folder)
 
 
-def landing_schema(spark: SparkSession, folder: str, store: str, sample: float = 1.0) -> StructType:
-    """Column types of a landing folder, inferred once and then read back from the store.
+def landing_schema(spark: SparkSession, folder: str, store: str, sample: float = 0.1) -> StructType:
+    """Column types of a landing folder, inferred once from a sample and then read back from the store.
 
     A stored schema keeps later runs independent of what new files happen to contain.
+    Only the inference samples; ingestion itself takes every row.
     """
     reader = spark.read.option("samplingRatio", sample)
     try:
@@ -34,8 +37,6 @@ def landing_schema(spark: SparkSession, folder: str, store: str, sample: float =
         schema = reader.json(folder).schema
         spark.range(1).select(F.lit(schema.json()).alias("value")).write.text(store)
         return schema
-    import json
-
     return StructType.fromJson(json.loads(saved))
 
 
@@ -78,9 +79,17 @@ def refine(
 
 
 def observed_violations(query: StreamingQuery, dataset: str) -> dict[str, int]:
-    """Rule metrics of a finished run, added up over its micro-batches."""
+    """Rule metrics of a finished run, added up over its micro-batches.
+
+    Spark keeps a limited history of batches; a run that outgrew it is refused
+    rather than counted in part.
+    """
+    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    history = query.recentProgress
+    if len(history) >= kept:
+        raise ValueError(f"{kept} or more batches: raise spark.sql.streaming.numRecentProgressUpdates")
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
+    for progress in history:
         metrics = progress.observedMetrics.get(f"quality_{dataset}")
         for name, value in (metrics.asDict() if metrics else {}).items():
             totals[name] = totals.get(name, 0) + (value or 0)
