@@ -10,6 +10,7 @@ the value, so a recomputed task always agrees with the others.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from keepwell.functions.money import guarded_ratio
 
 _STEPS_PER_DOUBLING = 4096
 _EXPONENT_SHIFT = 1100
+_BEYOND = 2**40  # infinities and NaN, which Spark orders last
 
 
 def order_bucket(value: Column) -> Column:
@@ -27,7 +29,10 @@ def order_bucket(value: Column) -> Column:
     size = F.abs(value.cast("double"))
     exponent = F.floor(F.log2(size))
     step = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * _STEPS_PER_DOUBLING)
-    bucket = (exponent + _EXPONENT_SHIFT) * _STEPS_PER_DOUBLING + step
+    unbounded = F.isnan(size) | (size == float("inf"))
+    bucket = F.when(unbounded, F.lit(_BEYOND)).otherwise(
+        (exponent + _EXPONENT_SHIFT) * _STEPS_PER_DOUBLING + step
+    )
     return F.when(size == 0, F.lit(0).cast("long")).when(value > 0, bucket).otherwise(-bucket)
 
 
@@ -39,23 +44,25 @@ def digest_bucket(hex_digest: Column) -> Column:
 def with_running_total(df: DataFrame, by: Sequence[str], order: str, amount: str, bucket: Column) -> DataFrame:
     """Adds `before` and `upto` (running totals of amount in order) and `whole` (group total).
 
-    Rows must be unique on (by, order).
+    Rows must be unique on (by, order). The join back is null-safe: a NULL group keeps
+    its rows, and both sides share one exchange of the input where it has one.
     """
     keys = [*by, "__bucket"]
     tagged = df.withColumn("__bucket", bucket)
     totals = tagged.groupBy(*keys).agg(F.sum(amount).alias("__total"))
     earlier = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        *keys,
+        *[F.col(k).alias(f"__at_{k}") for k in keys],
         F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__start"),
         F.sum("__total").over(Window.partitionBy(*by)).alias("whole"),
     )
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys])
     return (
-        tagged.join(starts, keys)
+        tagged.join(starts, same)
         .withColumn("upto", F.col("__start") + F.sum(amount).over(inside))
         .withColumn("before", F.col("upto") - F.col(amount))
-        .drop("__bucket", "__start")
+        .drop("__bucket", "__start", *[f"__at_{k}" for k in keys])
     )
 
 

@@ -560,7 +560,10 @@ def cdc_snapshot_diff(env: Env) -> DataFrame:
 def sync_upsert_merge(env: Env) -> DataFrame:
     """The earlier serving copy brought up to date with the change feed."""
     served = publish(
-        env.earlier(EARLIER_AS_OF).scores_n, f"served_{uuid.uuid4().hex[:12]}", fresh_path(env.spark, "served")
+        env.earlier(EARLIER_AS_OF).scores_n,
+        f"served_{uuid.uuid4().hex[:12]}",
+        fresh_path(env.spark, "served"),
+        bucket_key="customer_id",
     )
     return sync.upsert_merge(
         served, sync.snapshot_diff(served, gold(env)["gold_customer_churn_scores"], "customer_id"), "customer_id"
