@@ -7,10 +7,13 @@ availableNow: a run takes what has arrived since the last one and stops.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 from pyspark.sql.types import StructType
 
 from keepwell.operators.quality import Rule, drop_violators, violation_counts
@@ -31,16 +34,38 @@ def landing_schema(spark: SparkSession, folder: str, store: str, sample: float =
     reader = spark.read.option("samplingRatio", sample)
     try:
         saved = spark.read.text(store).first()[0]
-    except Exception as error:  # nothing stored yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    except AnalysisException:  # nothing stored yet
         schema = reader.json(folder).schema
         spark.range(1).select(F.lit(schema.json()).alias("value")).write.text(store)
         return schema
     return StructType.fromJson(json.loads(saved))
 
 
-def _run(df: DataFrame, target: str, checkpoint: str, name: str) -> StreamingQuery:
+@dataclass(frozen=True)
+class StreamRun:
+    """A finished run and the batches it added to its checkpoint."""
+
+    query: StreamingQuery
+    batches: range
+
+    @property
+    def progress(self) -> list[StreamingQueryProgress]:
+        return [p for p in self.query.recentProgress if p.batchId in self.batches]
+
+
+def _next_batch(spark: SparkSession, checkpoint: str) -> int:
+    """One more than the last batch a checkpoint has committed."""
+    try:
+        committed = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path")
+    except AnalysisException:  # no run yet
+        return 0
+    last = committed.agg(F.max(F.substring_index("path", "/", -1).try_cast("long"))).first()[0]
+    return 0 if last is None else last + 1
+
+
+def _run(df: DataFrame, target: str, checkpoint: str, name: str) -> StreamRun:
+    spark = df.sparkSession
+    first = _next_batch(spark, checkpoint)
     query = (
         df.writeStream.queryName(name)
         .format("parquet")
@@ -50,7 +75,7 @@ def _run(df: DataFrame, target: str, checkpoint: str, name: str) -> StreamingQue
         .start(target)
     )
     query.awaitTermination()
-    return query
+    return StreamRun(query, range(first, _next_batch(spark, checkpoint)))
 
 
 def ingest(
@@ -61,7 +86,7 @@ def ingest(
     schema: StructType,
     files_per_batch: int = 1000,
     name: str = "bronze",
-) -> StreamingQuery:
+) -> StreamRun:
     """Append every landing file not seen yet to the bronze folder."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
     return _run(rows, target, checkpoint, name)
@@ -69,7 +94,7 @@ def ingest(
 
 def refine(
     spark: SparkSession, dataset: str, bronze: str, target: str, checkpoint: str, files_per_batch: int = 1000
-) -> StreamingQuery:
+) -> StreamRun:
     """Append new bronze rows to silver: project, count rule violations, drop violators."""
     project, rules = SILVER_P[dataset]
     schema = spark.read.parquet(bronze).schema
@@ -78,18 +103,18 @@ def refine(
     return _run(drop_violators(counted, rules), target, checkpoint, f"silver_{dataset}")
 
 
-def observed_violations(query: StreamingQuery, dataset: str) -> dict[str, int]:
-    """Rule metrics of a finished run, added up over its micro-batches.
+def observed_violations(run: StreamRun, dataset: str) -> dict[str, int]:
+    """Rule metrics of a run, added up over its micro-batches.
 
     Spark keeps a limited history of batches; a run that outgrew it is refused
     rather than counted in part.
     """
-    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    history = query.recentProgress
-    if len(history) >= kept:
-        raise ValueError(f"{kept} or more batches: raise spark.sql.streaming.numRecentProgressUpdates")
+    if len({p.batchId for p in run.progress}) < len(run.batches):
+        raise ValueError(
+            f"history covers part of {len(run.batches)} batches: raise spark.sql.streaming.numRecentProgressUpdates"
+        )
     totals: dict[str, int] = {}
-    for progress in history:
+    for progress in run.progress:
         metrics = progress.observedMetrics.get(f"quality_{dataset}")
         for name, value in (metrics.asDict() if metrics else {}).items():
             totals[name] = totals.get(name, 0) + (value or 0)
