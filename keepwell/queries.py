@@ -681,7 +681,9 @@ def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[s
         for arrival in arrivals:
             ingest.write_landing(arrival, landing)
             schema = ingest.landing_schema(env.spark, landing, f"{base}/schema")
-            ingest.ingest(env.spark, landing, bronze, f"{base}/checkpoints/bronze", schema, 2, f"bronze_{dataset}")
+            ingest.ingest(
+                env.spark, landing, bronze, f"{base}/checkpoints/bronze", schema, name=f"bronze_{dataset}"
+            )
             ingest.refine(env.spark, dataset, bronze, refined, f"{base}/checkpoints/silver")
         silver_folders[dataset] = refined
     return silver_folders
@@ -712,7 +714,7 @@ def stream_silver_orders(env: Env) -> DataFrame:
 def stream_quality_report(env: Env) -> DataFrame:
     base = fresh_path(env.spark, "stream-quality")
     silver.project_orders_p(env.inputs.dirty_orders()).write.parquet(f"{base}/bronze")
-    run = ingest.refine(env.spark, "orders", f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint", 2)
+    run = ingest.refine(env.spark, "orders", f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint")
     totals = ingest.observed_violations(run, "orders")
     return ingest.violation_rows(env.spark, "orders", totals, quality.ORDER_RULES)
 

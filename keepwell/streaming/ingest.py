@@ -20,9 +20,10 @@ from keepwell.operators.quality import Rule, drop_violators, violation_counts
 from keepwell.plans.silver import SILVER_P
 
 
-def write_landing(df: DataFrame, folder: str, files: int = 3) -> None:
-    """Rows as JSON files in a landing folder, added to what is there."""
-    df.repartition(files).write.mode("append").json(folder)
+def write_landing(df: DataFrame, folder: str, files: int | None = None) -> None:
+    """Rows as JSON files in a landing folder, added to what is there; one file per task unless a count is given."""
+    spread = df if files is None else df.repartition(files)
+    spread.write.mode("append").json(folder)
 
 
 def landing_schema(spark: SparkSession, folder: str, store: str, sample: float = 0.1) -> StructType:

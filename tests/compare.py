@@ -27,7 +27,7 @@ def _plain(value):
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, dt.date):
-        return dt.datetime(value.year, value.month, value.day).isoformat()
+        return f"date {value.isoformat()}"
     if isinstance(value, float):
         return "nan" if value != value else repr(value)
     if isinstance(value, decimal.Decimal):
