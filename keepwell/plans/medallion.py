@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,19 +43,25 @@ def refresh_gold(
     def put(name: str, df: DataFrame, key: str | None = "customer_id") -> DataFrame:
         return publish(df, f"{database}.{name}", base, COMMENTS[name], key)
 
-    stored = put("customer_profile", profile)
-    if variant == "N":
-        scored = churn.add_scores_n(churn.add_features_n(stored))
-        rows = actions.add_actions_n(scored)
-        c360_columns = customer360.C360_N
-    else:
-        scored = churn.add_scores_p(churn.add_features_p(stored))
-        rows = actions.add_actions_p(scored)
-        c360_columns = customer360.C360_P
-    put("gold_customer_360", stored.select(*c360_columns))
-    put("gold_customer_churn_features", scored.select(*churn.FEATURES))
-    put("gold_customer_churn_scores", scored.select(*churn.SCORES))
-    put("gold_next_best_actions", rows.select(*actions.ACTIONS))
-    if kpis is not None:
-        put("gold_executive_kpis", kpis, key=None)
+    with ThreadPoolExecutor() as pool:
+        # independent of the profile, so it runs beside it
+        daily = None if kpis is None else pool.submit(put, "gold_executive_kpis", kpis, None)
+        stored = put("customer_profile", profile)
+        if variant == "N":
+            scored = churn.add_scores_n(churn.add_features_n(stored))
+            texts = actions.add_actions_n(scored)
+            c360_columns = customer360.C360_N
+        else:
+            scored = churn.add_scores_p(churn.add_features_p(stored))
+            texts = actions.add_actions_p(scored)
+            c360_columns = customer360.C360_P
+        projections = {
+            "gold_customer_360": stored.select(*c360_columns),
+            "gold_customer_churn_features": scored.select(*churn.FEATURES),
+            "gold_customer_churn_scores": scored.select(*churn.SCORES),
+            "gold_next_best_actions": texts.select(*actions.ACTIONS),
+        }
+        list(pool.map(lambda item: put(*item), projections.items()))
+        if daily:
+            daily.result()
     return GoldTables(spark, database)

@@ -18,6 +18,7 @@ from keepwell.sources import generate
 from keepwell.sources.retail_inputs import RetailInputs
 from keepwell.sources.tables import manifest, publish
 from keepwell.streaming import ingest
+from keepwell.streaming.refresh import profile_from_silver, stream_to_silver
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -146,12 +147,12 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
-_DATABASES: dict[tuple[str, str, str], GoldTables] = {}
+_DATABASES: dict[tuple[str, ...], GoldTables] = {}
 
 
 def gold(env: Env, variant: str = "N") -> GoldTables:
     """The gold tables of a folder, refreshed once per session into the shared folder."""
-    key = (env.spark.sparkContext.applicationId, env.folder, variant)
+    key = (env.spark.sparkContext.applicationId, env.folder, env.inputs.as_of, variant)
     if key not in _DATABASES:
         database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
         profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
@@ -551,23 +552,21 @@ def latest_kpis(env: Env) -> DataFrame:
 EARLIER_AS_OF = "2001-07-02"
 
 
+def _snapshots(env: Env, table: str) -> tuple[DataFrame, DataFrame]:
+    """The stored table as of the earlier day and as of today; both bucketed on the key."""
+    return gold(env.earlier(EARLIER_AS_OF))[table], gold(env)[table]
+
+
 @query
 def cdc_snapshot_diff(env: Env) -> DataFrame:
-    return sync.snapshot_diff(env.earlier(EARLIER_AS_OF).scores_n, env.scores_n, "customer_id")
+    return sync.snapshot_diff(*_snapshots(env, "gold_customer_churn_scores"), "customer_id")
 
 
 @query
 def sync_upsert_merge(env: Env) -> DataFrame:
     """The earlier serving copy brought up to date with the change feed."""
-    served = publish(
-        env.earlier(EARLIER_AS_OF).scores_n,
-        f"served_{uuid.uuid4().hex[:12]}",
-        fresh_path(env.spark, "served"),
-        bucket_key="customer_id",
-    )
-    return sync.upsert_merge(
-        served, sync.snapshot_diff(served, gold(env)["gold_customer_churn_scores"], "customer_id"), "customer_id"
-    )
+    served, current = _snapshots(env, "gold_customer_churn_scores")
+    return sync.upsert_merge(served, sync.snapshot_diff(served, current, "customer_id"), "customer_id")
 
 
 _SYNCED = ("gold_customer_churn_scores", "gold_next_best_actions", "gold_customer_360")
@@ -575,19 +574,11 @@ _SYNCED = ("gold_customer_churn_scores", "gold_next_best_actions", "gold_custome
 
 @query
 def sync_verify(env: Env) -> DataFrame:
-    """Stored gold against a copy brought in by the upsert, and against a stale copy."""
-    tables, earlier = gold(env), env.earlier(EARLIER_AS_OF)
-    stale = {
-        "gold_customer_churn_scores": earlier.scores_n,
-        "gold_next_best_actions": earlier.actions_n,
-        "gold_customer_360": earlier.c360_n,
-    }
-    pairs = [(name, tables[name], stale[name]) for name in _SYNCED]
-    name = _SYNCED[0]
-    merged = sync.upsert_merge(
-        stale[name], sync.snapshot_diff(stale[name], tables[name], "customer_id"), "customer_id"
-    )
-    return sync.sync_checks([*pairs, (f"{name} after sync", tables[name], merged)])
+    """Stored gold against a stale copy of each synced table, and against one brought up to date."""
+    pairs = [(name, *reversed(_snapshots(env, name))) for name in _SYNCED]
+    name, current, stale = pairs[0]
+    merged = sync.upsert_merge(stale, sync.snapshot_diff(stale, current, "customer_id"), "customer_id")
+    return sync.sync_checks([*pairs, (f"{name} after sync", current, merged)])
 
 
 @query
@@ -671,22 +662,15 @@ def serve_nba_sample(env: Env) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------------------------------
 def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[str, str]:
-    """Land each frame as JSON and run bronze and silver; with restart, half of the rows arrive later."""
-    silver_folders = {}
-    for dataset, rows in datasets.items():
-        base = fresh_path(env.spark, f"stream-{dataset}")
-        landing, bronze, refined = f"{base}/landing", f"{base}/bronze", f"{base}/silver"
-        half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
-        arrivals = [rows.filter(half == 0), rows.filter(half == 1)] if restart else [rows]
-        for arrival in arrivals:
-            ingest.write_landing(arrival, landing)
-            schema = ingest.landing_schema(env.spark, landing, f"{base}/schema")
-            ingest.ingest(
-                env.spark, landing, bronze, f"{base}/checkpoints/bronze", schema, name=f"bronze_{dataset}"
-            )
-            ingest.refine(env.spark, dataset, bronze, refined, f"{base}/checkpoints/silver")
-        silver_folders[dataset] = refined
-    return silver_folders
+    """Land each frame as JSON and stream it to silver; with restart, half of the rows arrive later."""
+    base = fresh_path(env.spark, "stream")
+    landing = {dataset: f"{base}/landing/{dataset}" for dataset in datasets}
+    for late in (0, 1) if restart else (None,):
+        for dataset, rows in datasets.items():
+            half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+            ingest.write_landing(rows if late is None else rows.filter(half == late), landing[dataset])
+        folders = stream_to_silver(env.spark, landing, f"{base}/tables")
+    return folders
 
 
 @query
@@ -710,6 +694,21 @@ def stream_silver_orders(env: Env) -> DataFrame:
     return env.spark.read.parquet(folders["orders"])
 
 
+@query
+def streamed_gold_360_p(env: Env) -> DataFrame:
+    """All five sources streamed, then customer 360 over the streamed tables."""
+    sources = {
+        "products": env.inputs.products(),
+        "customers": env.inputs.customers(),
+        "loyalty": env.inputs.loyalty(),
+        "orders": env.inputs.orders(),
+        "pos": env.inputs.pos(),
+    }
+    return customer360.customer_360_p(
+        profile_from_silver(env.spark, _streamed(env, sources, restart=False), env.as_of)
+    )
+
+
 @query
 def stream_quality_report(env: Env) -> DataFrame:
     base = fresh_path(env.spark, "stream-quality")
