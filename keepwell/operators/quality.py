@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keepwell import fixed_values as fixed
+from keepwell.functions.text import mask_tail
 
 
 @dataclass(frozen=True)
@@ -144,6 +145,5 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def mask_contacts(df: DataFrame) -> DataFrame:
-    from keepwell.functions.text import mask_tail
-
+    """E-mail and phone with all but their last four characters hidden."""
     return df.withColumns({name: mask_tail(F.col(name)) for name in ("email", "phone")})

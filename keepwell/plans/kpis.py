@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keepwell import fixed_values as fixed
 from keepwell.functions.money import cents, from_cents, guarded_ratio
 
 
@@ -79,7 +80,7 @@ def completed_revenue(orders: DataFrame, pos: DataFrame) -> DataFrame:
 
     def total(df: DataFrame, source: str, status: str, amount: str) -> DataFrame:
         return (
-            df.filter(F.col(status) == "Completed")
+            df.filter(F.col(status) == fixed.COMPLETED)
             .agg(F.coalesce(F.sum(cents(F.col(amount))), F.lit(0)).alias("cents"))
             .select(F.lit(source).alias("source"), from_cents(F.col("cents")).alias("completed_revenue"))
         )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell import fixed_values as fixed
+from keepwell.functions.money import cents, from_cents
 from keepwell.operators import dedup, mlprep, quality, ranking, sync
 from keepwell.plans import actions, churn, customer360, kpis, ml, serving, silver
 from keepwell.plans.medallion import GoldTables, refresh_gold
@@ -208,7 +209,7 @@ def dq_null_counts(env: Env) -> DataFrame:
 def dq_numeric_stats(env: Env) -> DataFrame:
     points = quality.numeric_stats(env.loyalty_n, "points_balance", F.sum("points_balance").cast("double"))
     price = quality.numeric_stats(
-        env.products_n, "price", F.sum(F.round(F.col("price") * 100).cast("long")) / F.lit(100.0)
+        env.products_n, "price", from_cents(F.sum(cents(F.col("price"))))
     )
     return points.unionByName(price)
 
@@ -372,14 +373,14 @@ def loyalty_penetration(env: Env) -> DataFrame:
 @query
 def ecom_metrics(env: Env) -> DataFrame:
     return env.rollup_p.filter(F.col("ecom_orders") > 0).select(
-        "customer_id", "ecom_orders", (F.col("ecom_cents") / 100.0).alias("ecom_revenue")
+        "customer_id", "ecom_orders", from_cents(F.col("ecom_cents")).alias("ecom_revenue")
     )
 
 
 @query
 def pos_metrics(env: Env) -> DataFrame:
     return env.rollup_p.filter(F.col("pos_orders") > 0).select(
-        "customer_id", "pos_orders", (F.col("pos_cents") / 100.0).alias("pos_revenue")
+        "customer_id", "pos_orders", from_cents(F.col("pos_cents")).alias("pos_revenue")
     )
 
 
