@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +13,10 @@ from keepwell.functions.money import cents, from_cents
 from keepwell.operators import dedup, mlprep, quality, ranking, sync
 from keepwell.plans import actions, churn, customer360, kpis, ml, serving, silver
 from keepwell.plans.medallion import GoldTables, refresh_gold
+from keepwell.plans.tables import CustomerTables
 from keepwell.session import fresh_path
 from keepwell.sources import generate
-from keepwell.sources.retail_inputs import RetailInputs
+from keepwell.sources.retail_inputs import AS_OF, RetailInputs
 from keepwell.sources.tables import manifest, publish
 from keepwell.streaming import ingest
 from keepwell.streaming.refresh import profile_from_silver, stream_to_silver
@@ -24,115 +24,17 @@ from keepwell.streaming.refresh import profile_from_silver, stream_to_silver
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-class Env:
-    """Frames of one folder, built lazily and shared by the queries."""
+class Env(CustomerTables):
+    """The tables of one folder."""
 
-    def __init__(self, spark: SparkSession, folder: str, **inputs: str):
-        self.spark = spark
+    inputs: RetailInputs
+
+    def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF):
+        super().__init__(spark, RetailInputs(spark, folder, as_of))
         self.folder = folder
-        self.inputs = RetailInputs(spark, folder, **inputs)
-        self.as_of = self.inputs.as_of_day
 
     def earlier(self, as_of: str) -> Env:
-        return Env(self.spark, self.folder, as_of=as_of)
-
-    # silver and gold, variant N
-    @cached_property
-    def customers_n(self) -> DataFrame:
-        return silver.customers_n(self.inputs.customers(), self.as_of)
-
-    @cached_property
-    def loyalty_n(self) -> DataFrame:
-        return silver.loyalty_n(self.inputs.loyalty())
-
-    @cached_property
-    def products_n(self) -> DataFrame:
-        return silver.products_n(self.inputs.products())
-
-    @cached_property
-    def transactions(self) -> DataFrame:
-        return silver.transactions_unified(self.inputs.orders(), self.inputs.pos())
-
-    @cached_property
-    def identity(self) -> DataFrame:
-        return silver.customer_identity(self.customers_n, self.loyalty_n)
-
-    @cached_property
-    def rollup_n(self) -> DataFrame:
-        return customer360.transaction_rollup_n(self.transactions, self.products_n, self.as_of)
-
-    @cached_property
-    def profile_n(self) -> DataFrame:
-        return customer360.profile_n(self.customers_n, self.loyalty_n, self.rollup_n, self.as_of)
-
-    @cached_property
-    def c360_n(self) -> DataFrame:
-        return customer360.customer_360_n(self.profile_n)
-
-    @cached_property
-    def features_n(self) -> DataFrame:
-        return churn.churn_features_n(self.profile_n)
-
-    @cached_property
-    def scored_n(self) -> DataFrame:
-        return churn.add_scores_n(churn.add_features_n(self.profile_n))
-
-    @cached_property
-    def scores_n(self) -> DataFrame:
-        return self.scored_n.select(*churn.SCORES)
-
-    @cached_property
-    def actions_n(self) -> DataFrame:
-        return actions.add_actions_n(self.scored_n).select(*actions.ACTIONS)
-
-    @cached_property
-    def kpis(self) -> DataFrame:
-        return kpis.executive_kpis(self.transactions)
-
-    # silver and gold, variant P: duplicates are removed before the joins
-    @cached_property
-    def customers_p(self) -> DataFrame:
-        return silver.silver_p("customers", dedup.latest_customers(self.inputs.customers()))
-
-    @cached_property
-    def loyalty_p(self) -> DataFrame:
-        return silver.silver_p("loyalty", dedup.latest_loyalty(self.inputs.loyalty()))
-
-    @cached_property
-    def products_p(self) -> DataFrame:
-        return silver.silver_p("products", dedup.first_products(self.inputs.products()))
-
-    @cached_property
-    def orders_p(self) -> DataFrame:
-        return silver.silver_p("orders", self.inputs.orders())
-
-    @cached_property
-    def pos_p(self) -> DataFrame:
-        return silver.silver_p("pos", self.inputs.pos())
-
-    @cached_property
-    def rollup_p(self) -> DataFrame:
-        return customer360.transaction_rollup_p(self.orders_p, self.pos_p, self.products_p, self.as_of)
-
-    @cached_property
-    def profile_p(self) -> DataFrame:
-        return customer360.profile_p(self.customers_p, self.loyalty_p, self.rollup_p, self.as_of)
-
-    @cached_property
-    def c360_p(self) -> DataFrame:
-        return customer360.customer_360_p(self.profile_p)
-
-    @cached_property
-    def features_p(self) -> DataFrame:
-        return churn.churn_features_p(self.profile_p)
-
-    @cached_property
-    def scores_p(self) -> DataFrame:
-        return churn.churn_scores_p(self.profile_p)
-
-    @cached_property
-    def actions_p(self) -> DataFrame:
-        return actions.add_actions_p(churn.add_scores_p(self.profile_p)).select(*actions.ACTIONS)
+        return Env(self.spark, self.folder, as_of)
 
 
 def query(build: Callable[[Env], DataFrame]) -> Callable[[Env], DataFrame]:
