@@ -1,10 +1,11 @@
 """Exact ranks, quantiles, splits and AUC without one task seeing a whole group.
 
 A plain window over a label or over everything would sort it in one task. Here
-the order is first cut into buckets by a fixed, order-preserving function of the
-value; small per-bucket totals give each bucket its starting rank, and only rows
-of one bucket are sorted together. The bucket of a value depends on nothing but
-the value, so a recomputed task always agrees with the others.
+each value has a whole-number order key, and prefixes of that key cut the order
+into ever smaller buckets. Small totals per prefix give each bucket its starting
+rank; only rows of one finest bucket are sorted together, and the finest bucket
+holds at most 65 536 distinct values, however the values are spread. The key of a
+value depends on nothing but the value, so a recomputed task agrees with the rest.
 """
 
 from __future__ import annotations
@@ -19,50 +20,77 @@ from keepwell.functions.draws import digest
 from keepwell.functions.ladders import ladder
 from keepwell.functions.money import guarded_ratio
 
-_STEPS_PER_DOUBLING = 4096
+_MANTISSA = 52
 _EXPONENT_SHIFT = 1100
-_BEYOND = 2**40  # infinities and NaN, which Spark orders last
+_LARGEST = 1e280  # larger sizes, infinities and NaN share the last key
+_LAST_KEY = 2**63 - 1
+_PREFIX_SHIFTS = (40, 28, 16)
 
 
-def order_bucket(value: Column) -> Column:
-    """A whole number that never decreases with the value: 4096 steps per power of two."""
+def order_key(value: Column) -> Column:
+    """A long that never decreases with the value: binary exponent, then 52 bits of mantissa."""
     size = F.abs(value.cast("double"))
     exponent = F.floor(F.log2(size))
-    step = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * _STEPS_PER_DOUBLING)
-    unbounded = F.isnan(size) | (size == float("inf"))
-    bucket = F.when(unbounded, F.lit(_BEYOND)).otherwise(
-        (exponent + _EXPONENT_SHIFT) * _STEPS_PER_DOUBLING + step
-    )
-    return F.when(size == 0, F.lit(0).cast("long")).when(value > 0, bucket).otherwise(-bucket)
+    mantissa = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * F.lit(2.0**_MANTISSA))
+    key = (exponent + _EXPONENT_SHIFT) * F.lit(2**_MANTISSA) + mantissa
+    bounded = F.when(F.isnan(size) | (size > _LARGEST), F.lit(_LAST_KEY)).otherwise(key)
+    return F.when(size == 0, F.lit(0).cast("long")).when(value > 0, bounded).otherwise(-bounded)
+
+
+def value_prefixes(value: Column) -> list[Column]:
+    """4096 steps per power of two, each cut into 4096, each cut into 4096 again."""
+    return [F.shiftright(order_key(value), bits) for bits in _PREFIX_SHIFTS]
+
+
+def digest_prefixes(hex_digest: Column) -> list[Column]:
+    """The first four hex digits: digests spread evenly, so 65 536 buckets of equal share do."""
+    return [F.substring(hex_digest, 1, 4)]
+
+
+def _matching(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys], F.lit(True))
 
 
-def digest_bucket(hex_digest: Column) -> Column:
-    """The first three hex digits: 4096 buckets of equal share, in digest order."""
-    return F.conv(F.substring(hex_digest, 1, 3), 16, 10).cast("long")
+def _as_parent(starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return starts.select(*[F.col(k).alias(f"__at_{k}") for k in keys], F.col("__start").alias("__before"), "whole")
 
 
-def with_running_total(df: DataFrame, by: Sequence[str], order: str, amount: str, bucket: Column) -> DataFrame:
+def _bucket_starts(totals: DataFrame, by: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """Running total before each bucket, level by level; a level's window spans one parent bucket."""
+    parent_keys, keys = [*by, *levels[:-1]], [*by, *levels]
+    earlier = Window.partitionBy(*parent_keys).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("__total").over(earlier), F.lit(0))
+    if len(levels) == 1:
+        whole = F.sum("__total").over(Window.partitionBy(*by))
+        return totals.select(*keys, inside.alias("__start"), whole.alias("whole"))
+    coarser = totals.groupBy(*parent_keys).agg(F.sum("__total").alias("__total"))
+    parents = _as_parent(_bucket_starts(coarser, by, levels[:-1]), parent_keys)
+    return (
+        totals.withColumn("__inside", inside)
+        .join(parents, _matching(parent_keys))
+        .select(*keys, (F.col("__before") + F.col("__inside")).alias("__start"), "whole")
+    )
+
+
+def with_running_total(
+    df: DataFrame, by: Sequence[str], order: str, amount: str, prefixes: Sequence[Column]
+) -> DataFrame:
     """Adds `before` and `upto` (running totals of amount in order) and `whole` (group total).
 
-    Rows must be unique on (by, order). The join back is null-safe: a NULL group keeps
-    its rows, and both sides share one exchange of the input where it has one.
+    Rows must be unique on (by, order). The joins are null-safe: a NULL group keeps its
+    rows, and both sides share one exchange of the input where it has one.
     """
-    keys = [*by, "__bucket"]
-    tagged = df.withColumn("__bucket", bucket)
+    levels = [f"__level{i}" for i in range(len(prefixes))]
+    keys = [*by, *levels]
+    tagged = df.withColumns(dict(zip(levels, prefixes)))
     totals = tagged.groupBy(*keys).agg(F.sum(amount).alias("__total"))
-    earlier = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *[F.col(k).alias(f"__at_{k}") for k in keys],
-        F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__start"),
-        F.sum("__total").over(Window.partitionBy(*by)).alias("whole"),
-    )
+    starts = _as_parent(_bucket_starts(totals, by, levels), keys)
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys])
     return (
-        tagged.join(starts, same)
-        .withColumn("upto", F.col("__start") + F.sum(amount).over(inside))
+        tagged.join(starts, _matching(keys))
+        .withColumn("upto", F.col("__before") + F.sum(amount).over(inside))
         .withColumn("before", F.col("upto") - F.col(amount))
-        .drop("__bucket", "__start", *[f"__at_{k}" for k in keys])
+        .drop("__before", *levels, *[f"__at_{k}" for k in keys])
     )
 
 
@@ -72,7 +100,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, shares: dict[s
     Equal values are counted first, so a value shared by a third of all rows is one row here.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = with_running_total(counted, by, value, "n", order_bucket(F.col(value)))
+    ranked = with_running_total(counted, by, value, "n", value_prefixes(F.col(value)))
 
     def at(index: Column) -> Column:
         return F.max(F.when((F.col("before") <= index) & (index < F.col("upto")), F.col(value)))
@@ -96,7 +124,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, shares: dict[s
 def position_by_digest(df: DataFrame, by: Sequence[str], key: str, seed: int, stream: str = "order") -> DataFrame:
     """Adds `before` (0-based position of the key in a fixed pseudo-random order) and `whole`."""
     shuffled = df.withColumns({"__digest": digest(F.col(key), stream, seed), "__one": F.lit(1).cast("long")})
-    ranked = with_running_total(shuffled, by, "__digest", "__one", digest_bucket(F.col("__digest")))
+    ranked = with_running_total(shuffled, by, "__digest", "__one", digest_prefixes(F.col("__digest")))
     return ranked.drop("__digest", "__one", "upto")
 
 
@@ -117,7 +145,7 @@ def rank_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> D
     counted = df.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives")
     )
-    ranked = with_running_total(counted, list(by), score, "negatives", order_bucket(F.col(score)))
+    ranked = with_running_total(counted, list(by), score, "negatives", value_prefixes(F.col(score)))
     wins = F.col("positives") * (F.col("before") + F.col("negatives") / F.lit(2.0))
     return (
         ranked.groupBy(*by)

@@ -186,10 +186,25 @@ def test_kpis_reconcile(spark, shop):
 VALUES = [-(10.0**9), -3.5, -3.5, -1e-9, 0.0, 0.0, 1e-12, 0.5, 0.5000001, 1.0, 2.0, 2.0, 3.0, 1023.99, 1024.0, 9999.0, 1e15]
 
 
-def test_order_bucket_never_decreases(spark):
-    df = spark.createDataFrame([(v,) for v in VALUES + [float("inf"), float("-inf"), float("nan")]], "v double")
-    ordered = [r.b for r in df.orderBy("v").select(ranking.order_bucket(F.col("v")).alias("b")).collect()]
-    assert ordered == sorted(ordered)
+def test_order_key_never_decreases(spark):
+    random.seed(5)
+    near = [m * 2.0**e for e in (-40, -1, 0, 1, 29, 31, 64) for m in (1 - 2**-53, 1.0, 1 + 2**-52, 1 + 2**-51, 1.3)]
+    many = [random.choice([-1, 1]) * random.random() * 10.0 ** random.randint(-12, 12) for _ in range(3000)]
+    limits = [float("inf"), float("-inf"), float("nan"), 1e300, -1e300, 1e279]
+    df = spark.createDataFrame([(v,) for v in VALUES + near + many + limits], "v double")
+    for column in [ranking.order_key(F.col("v")), *ranking.value_prefixes(F.col("v"))]:
+        ordered = [r.k for r in df.orderBy("v").select(column.alias("k")).collect()]
+        assert ordered == sorted(ordered)
+
+
+def test_close_values_are_spread_over_many_buckets(spark):
+    """Scores crowded into a ten-thousandth still fall into small finest buckets."""
+    df = spark.range(20000).select((F.lit(0.5) + F.col("id") * 5e-9).alias("v"))
+    finest = ranking.value_prefixes(F.col("v"))[-1]
+    largest = df.groupBy(finest.alias("b")).count().agg(F.max("count")).first()[0]
+    assert largest < 10
+    got = ranking.exact_quantiles(df, [], "v", {"q": 0.75}).first().q
+    assert got == pytest.approx(np.quantile([r.v for r in df.collect()], 0.75), rel=1e-15)
 
 
 def test_quantiles_equal_numpy(spark):
