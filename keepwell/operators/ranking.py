@@ -11,7 +11,6 @@ value depends on nothing but the value, so a recomputed task agrees with the res
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,35 +38,32 @@ def order_key(value: Column) -> Column:
 
 def value_prefixes(value: Column) -> list[Column]:
     """4096 steps per power of two, each cut into 4096, each cut into 4096 again."""
-    return [F.shiftright(order_key(value), bits) for bits in _PREFIX_SHIFTS]
+    key = F.coalesce(order_key(value), F.lit(-_LAST_KEY))
+    return [F.shiftright(key, bits) for bits in _PREFIX_SHIFTS]
 
 
 def digest_prefixes(hex_digest: Column) -> list[Column]:
     """The first four hex digits: digests spread evenly, so 65 536 buckets of equal share do."""
-    return [F.substring(hex_digest, 1, 4)]
-
-
-def _matching(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys], F.lit(True))
+    return [F.coalesce(F.substring(hex_digest, 1, 4), F.lit(""))]
 
 
 def _as_parent(starts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return starts.select(*[F.col(k).alias(f"__at_{k}") for k in keys], F.col("__start").alias("__before"), "whole")
+    return starts.select(*keys, F.col("__start").alias("__before"), "whole")
 
 
-def _bucket_starts(totals: DataFrame, by: Sequence[str], levels: Sequence[str]) -> DataFrame:
+def _bucket_starts(totals: DataFrame, groups: Sequence[str], levels: Sequence[str]) -> DataFrame:
     """Running total before each bucket, level by level; a level's window spans one parent bucket."""
-    parent_keys, keys = [*by, *levels[:-1]], [*by, *levels]
+    parent_keys, keys = [*groups, *levels[:-1]], [*groups, *levels]
     earlier = Window.partitionBy(*parent_keys).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("__total").over(earlier), F.lit(0))
     if len(levels) == 1:
-        whole = F.sum("__total").over(Window.partitionBy(*by))
+        whole = F.sum("__total").over(Window.partitionBy(*groups))
         return totals.select(*keys, inside.alias("__start"), whole.alias("whole"))
     coarser = totals.groupBy(*parent_keys).agg(F.sum("__total").alias("__total"))
-    parents = _as_parent(_bucket_starts(coarser, by, levels[:-1]), parent_keys)
+    parents = _as_parent(_bucket_starts(coarser, groups, levels[:-1]), parent_keys)
     return (
         totals.withColumn("__inside", inside)
-        .join(parents, _matching(parent_keys))
+        .join(parents, parent_keys)
         .select(*keys, (F.col("__before") + F.col("__inside")).alias("__start"), "whole")
     )
 
@@ -77,20 +73,22 @@ def with_running_total(
 ) -> DataFrame:
     """Adds `before` and `upto` (running totals of amount in order) and `whole` (group total).
 
-    Rows must be unique on (by, order). The joins are null-safe: a NULL group keeps its
-    rows, and both sides share one exchange of the input where it has one.
+    Rows must be unique on (by, order). Groups and buckets are named by columns that are
+    never NULL, so a NULL group keeps its rows, and the join back and the window after it
+    share one exchange.
     """
-    levels = [f"__level{i}" for i in range(len(prefixes))]
-    keys = [*by, *levels]
-    tagged = df.withColumns(dict(zip(levels, prefixes)))
+    groups = {f"__group{i}": F.coalesce(F.col(c).cast("string"), F.lit("∅")) for i, c in enumerate(by)}
+    levels = {f"__level{i}": column for i, column in enumerate(prefixes)}
+    keys = [*groups, *levels]
+    tagged = df.withColumns({**groups, **levels})
     totals = tagged.groupBy(*keys).agg(F.sum(amount).alias("__total"))
-    starts = _as_parent(_bucket_starts(totals, by, levels), keys)
+    starts = _as_parent(_bucket_starts(totals, list(groups), list(levels)), keys)
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        tagged.join(starts, _matching(keys))
+        tagged.join(starts, keys)
         .withColumn("upto", F.col("__before") + F.sum(amount).over(inside))
         .withColumn("before", F.col("upto") - F.col(amount))
-        .drop("__before", *levels, *[f"__at_{k}" for k in keys])
+        .drop("__before", *keys)
     )
 
 
