@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import bpe_tree, chat, mixing, quality_rules, sharding, token_counts, toxicity
+from keepwell.llm import bpe_tree, chat, jaccard_join, mixing, quality_rules, sharding, token_counts, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_threshold_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search_report(_table(spark, folder, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -27,6 +31,10 @@ def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_tree.codec_report(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_report(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -45,6 +53,22 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_toxicity, op3_chat_formatting, op4_bpe_codec, op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules)
+    f.__name__: f for f in (op1_threshold_topk, op2_toxicity, op3_chat_formatting, op4_bpe_codec, op6_ngram_jaccard_join, op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules)
+}
+LLM_SQL: dict[str, str] = {
+    "op1_threshold_topk": """
+        WITH fine AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }
-LLM_SQL: dict[str, str] = {}

@@ -2,8 +2,8 @@
 
 Features of a text are its distinct words, word pairs, triples and pairs with one or two words
 between, hashed into 2**BITS slots. Training runs in rounds: every one of SHARDS shards starts from
-the same state (z and n per slot) and updates it per coordinate, document by document; what the shards
-have added is summed slot by slot. L1 leaves most slots at weight zero; what is left is one
+the same state (z and n per slot) and updates it per coordinate, document by document; the shards' states
+are averaged slot by slot. L1 leaves most slots at weight zero; what is left is one
 float per slot, of a size that BITS fixes, and goes to the scoring tasks by broadcast.
 
 Training uses at most SAMPLE labelled rows (those with the smallest hash of doc_id); scoring reads
@@ -31,8 +31,8 @@ from keepwell.llm.words import FACTORS, mix, text_buffer, words_of
 BITS = 20
 SAMPLE = 24_000
 SHARDS = 4
-ROUNDS = 5
-ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 0.0
+ROUNDS = 8
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.0
 HELD_OUT_OF = 5
 
 
@@ -129,12 +129,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
         learn = _round(start, round_)
         # a shard holds SAMPLE / SHARDS bounded rows; one state comes back from each
         states = rows.groupBy("shard").applyInPandas(learn, "slots binary, z binary, n binary")
-        z_sum, n_sum = z.copy(), n.copy()
+        z_sum, n_sum, seen = np.zeros(1 << BITS), np.zeros(1 << BITS), 0
         for state in states.toLocalIterator():
             at = np.frombuffer(state["slots"], dtype="<i4")
-            z_sum[at] += np.frombuffer(state["z"]) - z[at]
-            n_sum[at] += np.frombuffer(state["n"]) - n[at]
-        z, n = z_sum, n_sum
+            z_sum[at] += np.frombuffer(state["z"])
+            n_sum[at] += np.frombuffer(state["n"])
+            seen += 1
+        z, n = z_sum / max(seen, 1), n_sum / max(seen, 1)
         start.unpersist()
     return _weights(z, n).astype(np.float32)
 
