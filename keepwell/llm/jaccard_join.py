@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.components import components
-from keepwell.llm.staging import CHUNKS, chunk_rows, folded_counts, gather, small_batches, stage
+from keepwell.llm.staging import CHUNKS, chunk_rows, gather, small_batches, stage, taken_slots
 from keepwell.llm.words import FACTORS, gram_hashes, mix, text_buffer, words_of
 
 SHINGLE = 5
@@ -210,10 +210,14 @@ def _later_pairs(postings: DataFrame, roots: DataFrame) -> DataFrame:
         ok = (root[left][:, None] != root[right]) & _can_link(n[left][:, None], p[left][:, None], n[right], p[right])
         i, j = np.nonzero(ok)
         a, b = pdf["cls"].to_numpy()[left[i]], pdf["cls"].to_numpy()[right[j]]
-        found = pd.DataFrame({"a": a, "b": b, "n_a": n[left[i]], "n_b": n[right[j]]})
-        turned = found["a"] > found["b"]
-        found.loc[turned, ["a", "b", "n_a", "n_b"]] = found.loc[turned, ["b", "a", "n_b", "n_a"]].to_numpy()
-        return found.astype({"n_a": "int32", "n_b": "int32"})
+        n_a, n_b = n[left[i]].astype(np.int32), n[right[j]].astype(np.int32)
+        ordered = np.fromiter((x < y for x, y in zip(a, b, strict=True)), bool, len(a))
+        return pd.DataFrame(
+            {
+                "a": np.where(ordered, a, b), "b": np.where(ordered, b, a),
+                "n_a": np.where(ordered, n_a, n_b), "n_b": np.where(ordered, n_b, n_a),
+            }
+        )
 
     return meeting.groupBy("h", "x", "y").applyInPandas(compare, PAIRS)
 
@@ -290,9 +294,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, cut) -> DataFrame:
     """The pairs (a, b) that link."""
     spark = pairs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
-    # the slot of a class is the same here as in _slot
-    high = F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long").alias("slot")
-    picked = spark.sparkContext.broadcast(folded_counts(ends.select(high).distinct(), "slot", PICK_BITS) > 0)
+    high = F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long").alias("slot")  # as _slot reads it
+    picked = spark.sparkContext.broadcast(taken_slots(ends.select(high), "slot", PICK_BITS))
     fragments = stage(_fragments(docs, text, cut, picked), "fragments")
     needed = (F.lit(LEAST) * (F.col("n_a") + F.col("n_b")) + (PER + LEAST - 1)) / F.lit(PER + LEAST)
     needed = F.floor(needed)
@@ -332,3 +335,20 @@ def _with_components(rows: DataFrame, roots: DataFrame) -> DataFrame:
         F.col("ident").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("least", "ident").alias("component_id"),
     )
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """docs with one document of each component: the one with the smallest id.
+
+    Rows that share an id (or have none) are told apart by their texts, and of equal rows one stays.
+    Only ids travel to the comparison with the texts' table; a component of one row needs none.
+    """
+    found = stage(near_duplicates(docs), "components")
+    same = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    kept = found.filter(same | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = stage(kept.withColumnRenamed("doc_id", "_kept"), "kept")
+    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = joined.filter("_rows = 1").select(*columns)
+    repeated = joined.filter("_rows > 1").select(*columns)
+    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import bpe_tree, chat, jaccard_join, mixing, quality_rules, sharding, token_counts, topk, toxicity
+from keepwell.llm import bpe_tree, chat, jaccard_join, mixing, quality_rules, sharding, suffix_dedup, token_counts, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_tree.codec_report(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_report(_table(spark, folder, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, folder, "documents"))
 
@@ -53,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_threshold_topk, op2_toxicity, op3_chat_formatting, op4_bpe_codec, op6_ngram_jaccard_join, op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules)
+    f.__name__: f for f in (op1_threshold_topk, op2_toxicity, op3_chat_formatting, op4_bpe_codec, op5_suffix_dedup, op6_ngram_jaccard_join, op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules)
 }
 LLM_SQL: dict[str, str] = {
     "op1_threshold_topk": """

@@ -32,24 +32,25 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def folded_counts(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """How many values of a 64-bit hash column fall into each of 2**bits slots (the hash's top bits).
+def taken_slots(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of 2**bits slots (a 64-bit hash's top bits) hold a value of the column.
 
-    The table's size is fixed by `bits`, whatever the input: each task folds its rows into a
-    table of its own, tables travel in chunks and are added up by chunk, and the driver gets
-    4 * 2**bits bytes. Counts stop at 2**32 - 1.
+    A filter of fixed size, whatever the input: 2**bits / 8 bytes come to the driver. More values fill
+    more slots, which lets more rows through and loses none.
     """
-    chunk = 1 << min(bits, CHUNK_BITS)
-    shift = np.uint64(64 - bits)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.uint32)
-        for batch in batches:
-            values = batch.column(0).drop_null().to_numpy(zero_copy_only=False).view(np.uint64)
-            np.add.at(counts, (values >> shift).astype(np.int64), 1)
-        yield from chunk_rows(counts, chunk)
-
-    return gather(df.select(column).mapInArrow(fold, CHUNKS), bits)
+    chunk_bits = min(bits, CHUNK_BITS)
+    slot = F.shiftrightunsigned(F.col(column), 64 - bits).cast("int")
+    slots = df.select(slot.alias("slot")).distinct().withColumn("chunk", F.shiftright("slot", chunk_bits))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros(1 << chunk_bits, dtype=bool)
+        held[pdf["slot"].to_numpy() & ((1 << chunk_bits) - 1)] = True
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "held": [np.packbits(held).tobytes()]})
+
+    table = np.zeros((1 << (bits - chunk_bits), 1 << chunk_bits), dtype=bool)
+    for row in slots.groupBy("chunk").applyInPandas(pack, "chunk int, held binary").toLocalIterator():
+        table[row[0]] = np.unpackbits(np.frombuffer(row[1], dtype=np.uint8))[: 1 << chunk_bits]
+    return table.ravel()
 
 
 CHUNKS = "chunk int, counts binary"

@@ -35,7 +35,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
+def power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(n, base, dtype=np.uint64)
@@ -75,7 +75,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> tuple[np
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + SPAN, side="right")))
         first, last = int(starts[lo]), int(ends[hi - 1])
-        powers, inverse = _power_tables(max(SPAN, last - first) + 1)
+        powers, inverse = power_tables(max(SPAN, last - first) + 1)
         sums = np.zeros(last - first + 1, dtype=np.uint64)
         np.cumsum(table[data[first:last]] * powers[: last - first], out=sums[1:])
         s, e = starts[lo:hi] - first, ends[lo:hi] - first
