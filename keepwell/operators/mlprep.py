@@ -13,7 +13,6 @@ from keepwell.functions.money import guarded_ratio
 from keepwell.operators.ranking import exact_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-MAX_LEVELS = 1000
 
 
 def melted(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -116,15 +115,28 @@ def fill_categories(df: DataFrame, columns: Sequence[str] = fixed.CATEGORICAL_FE
 
 
 def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels of each column from one pass; refuses columns that are not categorical."""
+    """Sorted levels of each column, for one_hot: a wide frame has a column for each, so the driver must know them.
+
+    For columns whose levels grow with the data use one_hot_rows, which keeps them in rows.
+    """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in columns])))
-    found = long.distinct().limit(MAX_LEVELS * len(columns) + 1).collect()
-    levels = {c: sorted(row.level for row in found if row.column == c and row.level is not None) for c in columns}
-    if any(len(names) > MAX_LEVELS for names in levels.values()) or len(found) > MAX_LEVELS * len(columns):
-        raise ValueError(f"more than {MAX_LEVELS} levels in one of {list(columns)}")
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in long.filter("level is not null").distinct().orderBy("column", "level").toLocalIterator():
+        levels[row.column].append(row.level)
     return levels
 
 
+def one_hot_rows(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Sparse one-hot encoding: a (key, column, level) row for each 1, without each column's first level.
+
+    Any number of levels: none of them passes through the driver.
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in columns]))
+    long = df.select(key, pairs).filter("level is not null")
+    first = long.groupBy("column").agg(F.min("level").alias("first_level"))  # one row per column
+    return long.join(first, "column").filter("level <> first_level").select(key, "column", "level")
+
+
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """0/1 column per level, without the alphabetically first; the source columns go."""
     indicators = {

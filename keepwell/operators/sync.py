@@ -18,8 +18,17 @@ def _wrapped(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(key, F.struct(*df.columns).alias(name))
 
 
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """df with NULL for the columns that only the other frame has, after its own."""
+    more = [f for f in other.schema.fields if f.name not in df.columns and f.name != CHANGE]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in more}) if more else df
+
+
 def _paired(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    return _wrapped(old, key, "__old").join(_wrapped(new.select(*old.columns), key, "__new"), key, "full")
+    """Both versions of each row over the columns of either: an added or dropped column is a change, too."""
+    old = _with_columns_of(old, new)
+    new = _with_columns_of(new, old).select(*old.columns)
+    return _wrapped(old, key, "__old").join(_wrapped(new, key, "__new"), key, "full")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -48,8 +57,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def upsert_merge(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """The target with a change feed applied: inserts and updates win, deletes go.
 
-    Applying the same feed twice gives the same rows.
+    Applying the same feed twice gives the same rows. Columns that only the feed has are added.
     """
+    target = _with_columns_of(target, changes)
     final = changes.filter(F.col(CHANGE) != BEFORE)
     latest = final.select(key, F.struct(*target.columns).alias("__new"), CHANGE)
     kept = F.coalesce(F.col(CHANGE) != DELETE, F.lit(True))

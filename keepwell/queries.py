@@ -29,12 +29,13 @@ class Env(CustomerTables):
 
     inputs: RetailInputs
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF):
-        super().__init__(spark, RetailInputs(spark, folder, as_of))
+    def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF, until: str | None = None):
+        super().__init__(spark, RetailInputs(spark, folder, as_of, until))
         self.folder = folder
 
     def earlier(self, as_of: str) -> Env:
-        return Env(self.spark, self.folder, as_of)
+        """The state at the end of a day: only the rows up to it."""
+        return Env(self.spark, self.folder, as_of, as_of)
 
 
 def query(build: Callable[[Env], DataFrame]) -> Callable[[Env], DataFrame]:
@@ -55,7 +56,7 @@ _DATABASES: dict[tuple[str, ...], GoldTables] = {}
 
 def gold(env: Env, variant: str = "N") -> GoldTables:
     """The gold tables of a folder, refreshed once per session into the shared folder."""
-    key = (env.spark.sparkContext.applicationId, env.folder, env.inputs.as_of, variant)
+    key = (env.spark.sparkContext.applicationId, env.folder, env.inputs.as_of, env.inputs.until, variant)
     if key not in _DATABASES:
         database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
         profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
@@ -614,11 +615,24 @@ def streamed_gold_360_p(env: Env) -> DataFrame:
 
 @query
 def stream_quality_report(env: Env) -> DataFrame:
+    """Violations of every rule of the five datasets, counted while their rows stream to silver."""
     base = fresh_path(env.spark, "stream-quality")
-    silver.project_orders_p(env.inputs.dirty_orders()).write.parquet(f"{base}/bronze")
-    run = ingest.refine(env.spark, "orders", f"{base}/bronze", f"{base}/silver", f"{base}/checkpoint")
-    totals = ingest.observed_violations(run, "orders")
-    return ingest.violation_rows(env.spark, "orders", totals, quality.ORDER_RULES)
+    sources = {
+        "products": env.inputs.products(),
+        "customers": env.inputs.customers(),
+        "loyalty": env.inputs.dirty_loyalty().withColumn("loyalty_tier", F.initcap(F.trim("loyalty_tier"))),
+        "orders": env.inputs.dirty_orders(),
+        "pos": env.inputs.pos(),
+    }
+    report = None
+    for dataset, frame in sources.items():
+        folder = f"{base}/{dataset}"
+        frame.write.parquet(f"{folder}/bronze")
+        run = ingest.refine(env.spark, dataset, f"{folder}/bronze", f"{folder}/silver", f"{folder}/checkpoint")
+        totals = ingest.observed_violations(run, dataset)
+        found = ingest.violation_rows(env.spark, dataset, totals, silver.SILVER_P[dataset][1])
+        report = found if report is None else report.unionByName(found)
+    return report
 
 
 # --- generated rows: one per key of a supplied table -----------------------------------------------------
@@ -656,7 +670,7 @@ _NUMERIC_AND_LABEL = [*fixed.NUMERIC_FEATURES, fixed.LABEL]
 
 def recency_probability() -> Column:
     """A churn probability any engine can compute: recency against a 90-day half-way point."""
-    days = F.col("days_since_last_purchase").cast("double")
+    days = F.greatest(F.col("days_since_last_purchase"), F.lit(0)).cast("double")
     return days / (days + 90.0)
 
 

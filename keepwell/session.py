@@ -34,7 +34,8 @@ def local_session(cpus: int | str = "*", app: str = "keepwell", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where nothing is configured (tests, one machine) a temporary folder is made.
+    Where nothing is configured, one machine (tests) makes a temporary folder; a cluster uses the
+    warehouse, which all executors share.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -45,7 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    made = tempfile.mkdtemp(prefix="keepwell-")
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        made = tempfile.mkdtemp(prefix="keepwell-")
+    else:
+        made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     context.setCheckpointDir(made)
     return context.getCheckpointDir()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class BronzeFrames:
-    """Five source frames; rows dated after the as-of day are ignored."""
+    """Five source frames; `as_of` is the day that recency, tenure and activity count from."""
 
     products_frame: DataFrame
     customers_frame: DataFrame
@@ -28,25 +28,17 @@ class BronzeFrames:
     def as_of_day(self) -> Column:
         return F.to_date(F.lit(self.as_of))
 
-    def _until(self, df: DataFrame, column: str) -> DataFrame:
-        """Rows without a date stay: only a later date is a reason to ignore a row.
-
-        The column is compared as it is, so the filter reaches the scan.
-        """
-        day_after = F.date_add(self.as_of_day, 1).cast(df.schema[column].dataType)
-        return df.filter(F.col(column).isNull() | (F.col(column) < day_after))
-
     def products(self) -> DataFrame:
         return self.products_frame
 
     def customers(self) -> DataFrame:
-        return self._until(self.customers_frame, "registration_date")
+        return self.customers_frame
 
     def loyalty(self) -> DataFrame:
         return self.loyalty_frame
 
     def orders(self) -> DataFrame:
-        return self._until(self.orders_frame, "order_date")
+        return self.orders_frame
 
     def pos(self) -> DataFrame:
-        return self._until(self.pos_frame, "transaction_date")
+        return self.pos_frame

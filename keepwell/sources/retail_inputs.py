@@ -19,12 +19,17 @@ FIRST_REGISTRATION = "1998-08-02"
 
 
 class RetailInputs:
-    """Lazy frames over one folder of parquet tables, seen as of one day."""
+    """Lazy frames over one folder of parquet tables.
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF):
+    `as_of` is the day that recency, tenure and activity count from. Every row takes part; only an
+    earlier state, as change feeds compare, is limited to the rows up to a day by `until`.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, as_of: str = AS_OF, until: str | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.as_of = as_of
+        self.until = until
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -33,6 +38,13 @@ class RetailInputs:
     def as_of_day(self):
         return F.to_date(F.lit(self.as_of))
 
+    def _until(self, df: DataFrame, column: str) -> DataFrame:
+        """The rows of an earlier state; the column is compared as it is, so the filter reaches the scan."""
+        if self.until is None:
+            return df
+        day_after = F.date_add(F.to_date(F.lit(self.until)), 1).cast(df.schema[column].dataType)
+        return df.filter(F.col(column) < day_after)
+
     def products(self) -> DataFrame:
         key = F.col("p_partkey")
         copies = F.when(key % 10 == 0, F.array(F.lit(" "), F.lit("  v2"))).otherwise(F.array(F.lit(" ")))
@@ -58,7 +70,7 @@ class RetailInputs:
         newest = F.struct(F.lit(0).alias("age"), F.lit("+1-555-").alias("prefix"))
         older = F.struct(F.lit(100).alias("age"), F.lit("+1-444-").alias("prefix"))
         copies = F.when(key % 20 == 0, F.array(newest, older)).otherwise(F.array(newest))
-        return (
+        rows = (
             self.table("customer")
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
@@ -79,8 +91,8 @@ class RetailInputs:
                 F.col("n_name").alias("state"),
                 F.col("r_name").alias("country"),
             )
-            .filter(F.col("registration_date") <= self.as_of_day)
         )
+        return self._until(rows, "registration_date")
 
     def loyalty(self) -> DataFrame:
         key = F.col("c_custkey")
@@ -105,15 +117,13 @@ class RetailInputs:
         )
 
     def _lines(self) -> DataFrame:
-        """One row per (order, line) up to the as-of day, with its buyer.
+        """One row per (order, line), with its buyer.
 
-        The day filter reaches the scan. Copies are pruned map-side before the
+        Copies are pruned map-side before the
         shuffle (a row_number limit), so a heavily repeated line costs one row
         per task.
         """
-        lines = self.table("lineitem").filter(
-            F.col("l_shipdate") < F.date_add(self.as_of_day, 1).cast("timestamp_ntz")
-        )
+        lines = self._until(self.table("lineitem"), "l_shipdate")
         single = keep_one(
             lines,
             ["l_orderkey", "l_linenumber"],

@@ -6,7 +6,6 @@ availableNow: a run takes what has arrived since the last one and stops.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,32 +13,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryProgress
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from keepwell.operators.quality import Rule, drop_violators, violation_counts
 from keepwell.plans.silver import SILVER_P
 
 
+# The engine keeps 100 reports by default; no run ends that many batches between two looks.
+POLL_SECONDS = 0.2
+
+
 def write_landing(df: DataFrame, folder: str, files: int | None = None) -> None:
     """Rows as JSON files in a landing folder, added to what is there; one file per task unless a count is given."""
     spread = df if files is None else df.repartition(files)
     spread.write.mode("append").json(folder)
 
 
-def landing_schema(spark: SparkSession, folder: str, store: str, sample: float = 0.1) -> StructType:
-    """Column types of a landing folder, inferred once from a sample and then read back from the store.
+# Declared columns of the landing files, by dataset. What does not fit goes to the rescue column.
+LANDING = {
+    "products": "product_id bigint, product_name string, category string, brand string, price double",
+    "customers": "customer_id bigint, first_name string, last_name string, email string, phone string, "
+    "registration_date date, city string, state string, country string",
+    "loyalty": "customer_id bigint, loyalty_tier string, points_balance bigint, member_since date, status string",
+    "orders": "order_id string, customer_id bigint, product_id bigint, order_date timestamp_ntz, quantity bigint, "
+    "order_amount double, order_status string, channel string, payment_method string",
+    "pos": "transaction_id string, customer_id bigint, product_id bigint, transaction_date timestamp_ntz, "
+    "quantity bigint, transaction_amount double, transaction_status string, channel string, store_id string, "
+    "store_name string, store_city string, store_state string, payment_method string",
+}
+RESCUED = "_rescued"
+
 
-    A stored schema keeps later runs independent of what new files happen to contain.
-    Only the inference samples; ingestion itself takes every row.
+def parsed(lines: DataFrame, schema: StructType | str) -> DataFrame:
+    """Landing lines (`value`) as declared columns and the rescue column.
+
+    A line that is no JSON object, or holds a value that its column's type cannot, is rescued whole; fields
+    that are not declared are rescued as an object of their own. Nothing else is lost either: every line
+    gives a row, and declared fields of the right type keep their values.
     """
-    reader = spark.read.option("samplingRatio", sample)
-    try:
-        saved = spark.read.text(store).first()[0]
-    except AnalysisException:  # nothing stored yet
-        schema = reader.json(folder).schema
-        spark.range(1).select(F.lit(schema.json()).alias("value")).write.text(store)
-        return schema
-    return StructType.fromJson(json.loads(saved))
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    held = StructType([*declared.fields, StructField("_broken", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    names = F.array(*[F.lit(name) for name in declared.names])
+    fields = F.from_json("value", MapType(StringType(), StringType()), {"mode": "PERMISSIVE"})
+    more = F.map_filter(fields, lambda name, _: ~F.array_contains(names, name))
+    rows = lines.select("value", F.from_json("value", held, options).alias("row"), more.alias("more"))
+    rescued = F.when(F.col("row").isNull() | F.col("row._broken").isNotNull(), F.col("value")).when(
+        F.size("more") > 0, F.to_json("more")
+    )
+    return rows.select(*[F.col(f"row.`{name}`").alias(name) for name in declared.names], rescued.alias(RESCUED))
+
+
+def rescued_rows(bronze: DataFrame) -> DataFrame:
+    """How many rows of a bronze table hold something rescued."""
+    return bronze.agg(F.count(F.lit(1)).alias("row_count"), F.count(RESCUED).alias("rescued_count"))
 
 
 @dataclass(frozen=True)
@@ -48,10 +75,7 @@ class StreamRun:
 
     query: StreamingQuery
     batches: range
-
-    @property
-    def progress(self) -> list[StreamingQueryProgress]:
-        return [p for p in self.query.recentProgress if p.batchId in self.batches]
+    progress: list[StreamingQueryProgress]
 
 
 def _next_batch(spark: SparkSession, checkpoint: str) -> int:
@@ -75,8 +99,14 @@ def _run(df: DataFrame, target: str, checkpoint: str, name: str) -> StreamRun:
         .trigger(availableNow=True)
         .start(target)
     )
-    query.awaitTermination()
-    return StreamRun(query, range(first, _next_batch(spark, checkpoint)))
+    # the engine keeps the last reports only, so they are taken over while the query runs
+    reports: dict[int, StreamingQueryProgress] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(POLL_SECONDS)
+        reports |= {p.batchId: p for p in query.recentProgress}
+    batches = range(first, _next_batch(spark, checkpoint))
+    return StreamRun(query, batches, [reports[n] for n in sorted(reports) if n in batches])
 
 
 def ingest(
@@ -84,13 +114,13 @@ def ingest(
     landing: str,
     target: str,
     checkpoint: str,
-    schema: StructType,
+    schema: StructType | str,
     files_per_batch: int = 1000,
     name: str = "bronze",
 ) -> StreamRun:
     """Append every landing file not seen yet to the bronze folder."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    return _run(rows, target, checkpoint, name)
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+    return _run(parsed(lines, schema), target, checkpoint, name)
 
 
 def refine(
@@ -105,15 +135,9 @@ def refine(
 
 
 def observed_violations(run: StreamRun, dataset: str) -> dict[str, int]:
-    """Rule metrics of a run, added up over its micro-batches.
-
-    Spark keeps a limited history of batches; a run that outgrew it is refused
-    rather than counted in part.
-    """
-    if len({p.batchId for p in run.progress}) < len(run.batches):
-        raise ValueError(
-            f"history covers part of {len(run.batches)} batches: raise spark.sql.streaming.numRecentProgressUpdates"
-        )
+    """Rule metrics of a run, added up over its micro-batches, however many."""
+    if len(run.progress) < len(run.batches):
+        raise RuntimeError(f"reports of {len(run.batches) - len(run.progress)} batches are missing")
     totals: dict[str, int] = {}
     for progress in run.progress:
         metrics = progress.observedMetrics.get(f"quality_{dataset}")

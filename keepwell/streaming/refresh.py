@@ -24,9 +24,9 @@ def stream_to_silver(
 
     def one(dataset: str) -> tuple[str, str]:
         folder = f"{base}/{dataset}"
-        schema = ingest.landing_schema(spark, landing[dataset], f"{folder}/schema")
         ingest.ingest(
-            spark, landing[dataset], f"{folder}/bronze", f"{folder}/checkpoints/bronze", schema, files_per_batch,
+            spark, landing[dataset], f"{folder}/bronze", f"{folder}/checkpoints/bronze", ingest.LANDING[dataset],
+            files_per_batch,
             f"bronze_{dataset}",
         )
         ingest.refine(

@@ -1,6 +1,8 @@
 """CTEs that derive the retail source tables from the supplied star schema."""
 
 AS_OF = "DATE '2001-08-01'"
+# The last day of the rows that take part; earlier states replace it.
+UNTIL = "DATE '9999-12-31'"
 
 BRONZE = f"""
 bronze_products AS (
@@ -39,7 +41,7 @@ bronze_customers AS (
          '+1-444-' || lpad(CAST(customer_id AS VARCHAR), 7, '0'),
          registration_date - 100, city, state, country
   FROM customer_base WHERE customer_id % 20 = 0)
-  WHERE registration_date <= {AS_OF}
+  WHERE registration_date <= {UNTIL}
 ),
 bronze_loyalty AS (
   SELECT c_custkey AS customer_id,
@@ -54,7 +56,7 @@ bronze_loyalty AS (
   FROM customer WHERE c_custkey % 10 < 7
 ),
 single_lines AS (
-  SELECT * FROM lineitem WHERE l_shipdate <= {AS_OF}
+  SELECT * FROM lineitem WHERE l_shipdate <= {UNTIL}
   QUALIFY row_number() OVER (
     PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice, l_quantity) = 1

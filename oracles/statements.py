@@ -221,7 +221,7 @@ EARLIER = "DATE '2001-07-02'"
 
 def _two_days(head: str, table: str) -> str:
     """CTEs old_rows and new_rows: one gold table on two days."""
-    then = head.replace(p.AS_OF, EARLIER)
+    then = head.replace(p.AS_OF, EARLIER).replace(p.UNTIL, EARLIER)
     return f"WITH old_rows AS ({then} SELECT * FROM {table}), new_rows AS ({head} SELECT * FROM {table})"
 
 
@@ -247,7 +247,7 @@ ORACLES["sync_upsert_merge"] = f"{p.N} SELECT * FROM n_scores"
 def _check(label: str, head: str, table: str, in_step: bool = False) -> str:
     rows = f"WITH new_rows AS ({head} SELECT * FROM {table})"
     rows += ", old_rows AS (SELECT * FROM new_rows)" if in_step else (
-        f", old_rows AS ({head.replace(p.AS_OF, EARLIER)} SELECT * FROM {table})"
+        f", old_rows AS ({head.replace(p.AS_OF, EARLIER).replace(p.UNTIL, EARLIER)} SELECT * FROM {table})"
     )
     return f"""
 SELECT *, missing_rows + extra_rows + different_rows = 0 AS in_sync FROM ({rows}
@@ -275,7 +275,7 @@ SELECT customer_id, CAST(round_even(probability * 100, 0) AS INTEGER) AS churn_s
 FROM (
   SELECT *, CASE WHEN probability >= 0.6 THEN 'High' WHEN probability >= 0.3 THEN 'Medium' ELSE 'Low' END AS churn_risk_band
   FROM (
-    SELECT *, CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) AS probability,
+    SELECT *, CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) / (CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) + 90.0) AS probability,
       CASE WHEN days_since_last_purchase > 180 THEN 'Extended purchase gap (180+ days)'
            WHEN days_since_last_purchase > 90 THEN 'No recent engagement (90+ days)'
            ELSE 'Declining engagement' END AS top_reason_1,
@@ -347,16 +347,12 @@ ORACLES["streamed_gold_360_p"] = ORACLES["gold_customer_360_p"]
 ORACLES["stream_silver_orders"] = ORACLES["dq_expect_or_drop"]
 _add(
     p.RAW_DIRTY,
-    stream_quality_report=" UNION ALL ".join(
-        [
-            _rule("orders", "dirty_orders", "valid_order_id", "order_id IS NOT NULL", "drop"),
-            _rule("orders", "dirty_orders", "valid_amount", "order_amount >= 0"),
-            _rule("orders", "dirty_orders", "valid_quantity", "quantity > 0"),
-        ]
-    ),
 )
 
 
+ORACLES["stream_quality_report"] = ORACLES["dq_expectation_report"]
+
+
 # --- generated rows ------------------------------------------------------------------------------------------
 def _u(key: str, stream: str) -> str:
     return f"(CAST('0x' || substr(md5({key} || '|{stream}|42'), 1, 12) AS BIGINT) / 281474976710656.0e0)"
@@ -371,7 +367,7 @@ def _real(draw: str, low: float, high: float) -> str:
 
 
 def _pick(draw: str, values) -> str:
-    names = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    names = ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v!r}e0" for v in values)
     return f"([{names}])[{_whole(draw, 1, len(values))}]"
 
 
@@ -568,8 +564,8 @@ _PREDICTIONS = """
 predictions AS (
   SELECT f.customer_id, churn_label_proxy, churn_score, churn_risk_band,
     CAST(churn_risk_band = 'High' AS INTEGER) AS rule_prediction,
-    CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) AS ml_churn_probability,
-    CAST(CAST(days_since_last_purchase AS DOUBLE) / (CAST(days_since_last_purchase AS DOUBLE) + 90.0) >= 0.5 AS INTEGER) AS ml_prediction
+    CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) / (CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) + 90.0) AS ml_churn_probability,
+    CAST(CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) / (CAST(greatest(days_since_last_purchase, 0) AS DOUBLE) + 90.0) >= 0.5 AS INTEGER) AS ml_prediction
   FROM p_features f JOIN p_scores s ON f.customer_id = s.customer_id
 )"""
 

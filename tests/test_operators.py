@@ -263,10 +263,12 @@ def test_one_hot_drops_the_first_level(spark):
     assert rows(encoded) == [(1, 1, 0), (2, 0, 0), (3, 0, 1)]
 
 
-def test_too_many_levels_are_refused(spark):
-    df = spark.range(3000).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        mlprep.category_levels(df, ["c"])
+def test_columns_with_many_levels_encode(spark):
+    df = spark.range(3000).select("id", F.format_string("L%04d", "id").alias("c"))
+    assert len(mlprep.category_levels(df, ["c"])["c"]) == 3000
+    encoded = mlprep.one_hot_rows(df, "id", ["c"])
+    assert encoded.count() == 2999  # the first level is left out
+    assert rows(encoded.filter("id in (0, 1, 2999)")) == [(1, "c", "L0001"), (2999, "c", "L2999")]
 
 
 # --- sync -----------------------------------------------------------------------------------------
@@ -277,6 +279,16 @@ def versions(spark):
     return old, new
 
 
+def test_added_column_is_a_change_and_is_kept(spark):
+    old, new = versions(spark)
+    wider = old.withColumn("w", F.when(F.col("customer_id") == 1, 7))
+    feed = sync.snapshot_diff(old, wider, "customer_id")
+    assert feed.columns == ["customer_id", "v", "w", "_change_type"]
+    assert rows(feed) == [(1, "a", 7, "update_postimage"), (1, "a", None, "update_preimage")]
+    assert rows(sync.upsert_merge(old, feed, "customer_id")) == rows(wider)
+    assert not sync.sync_check(wider, old, "customer_id", "t").first()["in_sync"]
+
+
 def test_diff_has_every_kind_of_change(spark):
     old, new = versions(spark)
     assert rows(sync.snapshot_diff(old, new, "customer_id")) == [
