@@ -18,6 +18,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from keepwell.llm.staging import small_batches
 
-# Pieces and neighbours that a task remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+# Pieces, and pairs of neighbours, that a Python worker remembers; beyond that it starts anew.
+REMEMBERED = 800_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -53,7 +54,7 @@ class PrefixCounter(dict):
         for i, merge in enumerate(told["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self.rank.setdefault(as_bytes(a) + as_bytes(b), i)
-        self.longest = max(map(len, self.rank))
+        self.tokens = {*self.rank, *(bytes([b]) for b in range(256))}
         self.specials = [t["content"] for t in told["added_tokens"]]
         self.split_specials = regex.compile("|".join(map(regex.escape, self.specials)) or "(?!)")
         self.pieces_of = regex.compile(pattern).findall
@@ -73,33 +74,29 @@ class PrefixCounter(dict):
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _can_follow(self, a: bytes, b: bytes) -> bool:
-        known = self.follows.get((a, b))
-        if known is None:
-            if len(self.follows) >= REMEMBERED:
-                self.follows.clear()
-            known = self.follows[a, b] = self._alone(a + b) == [a, b]
-        return known
-
     def counts(self, data: bytes) -> list[int]:
         """Tokens of data[:i] for every i."""
         last, count = [b""], [0]
+        start = 0
         for end in range(1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = data[start:end]
-                if end - start > 1 and (token not in self.rank or not self._is_token(token)):
-                    continue
-                if start == 0 or self._can_follow(last[start], token):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
+            # mostly the last token grows by a byte or a new one begins; only one start can be right
+            if not self._ends(last[start], data[start:end]):
+                tried, start = start, end - 1
+                while start == tried or not self._ends(last[start], data[start:end]):
+                    start -= 1
+            last.append(data[start:end])
+            count.append(count[start] + 1)
         return count
 
-    def _is_token(self, token: bytes) -> bool:
-        """Whether the bytes are encoded as one token: each token of the vocabulary that can occur is."""
-        known = self.follows.get((token, b""))
+    def _ends(self, before: bytes, token: bytes) -> bool:
+        """Whether token can come last after a prefix that ends in `before`."""
+        if token not in self.tokens:
+            return False
+        known = self.follows.get((before, token))
         if known is None:
-            known = self.follows[token, b""] = len(self._alone(token)) == 1
+            if len(self.follows) >= REMEMBERED:
+                self.follows.clear()
+            known = self.follows[before, token] = self._alone(before + token) == ([before, token] if before else [token])
         return known
 
     def __missing__(self, piece: str) -> int:
@@ -162,6 +159,14 @@ class PrefixCounter(dict):
                 done = match.end()
 
 
+def _counter(path: str, pattern: str) -> PrefixCounter:
+    """The worker's counter: kept from task to task, so a piece is worked out once for each worker."""
+    kept = vars(sys).setdefault("_token_counters", {})
+    if (path, pattern) not in kept:
+        kept[path, pattern] = PrefixCounter(path, pattern)
+    return kept[path, pattern]
+
+
 def fits(counts: np.ndarray, budget: int) -> int:
     """Length of the longest prefix with at most `budget` tokens."""
     return int(np.flatnonzero(counts <= budget)[-1])
@@ -172,7 +177,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id"
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path, pattern)
+        counter = _counter(path, pattern)
         for batch in batches:
             totals = [counter.total(t.as_py() or "") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
@@ -191,7 +196,7 @@ def prefix_table(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id"
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path, pattern)
+        counter = _counter(path, pattern)
         for batch in batches:
             tables = [counter.prefix_counts(t.as_py() or "").astype("<u4").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tables, pa.binary())], names=["ident", "counts"])
