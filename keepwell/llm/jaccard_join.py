@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.components import components
-from keepwell.llm.staging import CHUNKS, chunk_rows, gather, small_batches, stage, taken_slots
+from keepwell.llm.staging import CHUNKS, chunk_rows, gather, is_taken, small_batches, stage, taken_slots
 from keepwell.llm.words import FACTORS, gram_hashes, mix, text_buffer, words_of
 
 SHINGLE = 5
@@ -243,7 +243,7 @@ def _fragments(docs: DataFrame, text: str, cut, picked) -> DataFrame:
             out: tuple[list, list, list, list] = ([], [], [], [])
             for shingles in shingle_sets(batch.column(0)):
                 cls = class_of(shingles)
-                if cls is None or cls in met or not wanted[_slot(cls)]:
+                if cls is None or cls in met or not is_taken(wanted, np.array([_slot(cls)]))[0]:
                     continue
                 if len(met) >= 200_000:
                     met.clear()

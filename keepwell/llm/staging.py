@@ -47,12 +47,17 @@ def taken_slots(df: DataFrame, column: str, bits: int) -> np.ndarray:
         held[pdf["slot"].to_numpy() & ((1 << chunk_bits) - 1)] = True
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "held": [np.packbits(held).tobytes()]})
 
-    table = np.zeros((1 << (bits - chunk_bits), 1 << chunk_bits), dtype=bool)
+    table = np.zeros((1 << (bits - chunk_bits), (1 << chunk_bits) // 8), dtype=np.uint8)
     for row in slots.groupBy("chunk").applyInPandas(pack, "chunk int, held binary").toLocalIterator():
-        table[row[0]] = np.unpackbits(np.frombuffer(row[1], dtype=np.uint8))[: 1 << chunk_bits]
+        table[row[0]] = np.frombuffer(row[1], dtype=np.uint8)
     return table.ravel()
 
 
+def is_taken(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Look slots up in what taken_slots returned."""
+    return (table[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
+
+
 CHUNKS = "chunk int, counts binary"
 
 

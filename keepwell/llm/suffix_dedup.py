@@ -4,7 +4,7 @@ Of all suffixes only those at content-selected positions are retained: in every
 the GRAM-word sequence with the least hash is its minimiser, so equal windows retain the suffix at the
 same place. Retained suffixes that share their first GRAM words with another are extended to both sides,
 over all windows whose minimiser they are; the windows are sorted by content, and each is compared with
-its neighbour. In a run of equal windows the first, by (id, text, position), is the original and the
+its neighbour. In a run of equal windows the first, by (id, digest of the text, position), is the original and the
 others are repeats. Adjacent repeats join to spans.
 
 So a word is in a span exactly if it lies in a window of PASSAGE words that stands earlier, in this or
@@ -13,6 +13,8 @@ another document. Words are compared as they are, white space between them is no
 Defined cases: null, empty and shorter texts have no windows; rows equal in id and text are one
 document; null ids come first in the order; texts of any length are read whole; an empty table gives an
 empty result. Windows are compared by 64-bit hashes.
+A window that repeats inside its own text is settled there and sent on once, so texts of one phrase over
+and over make no crowd.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.staging import small_batches, stage, taken_slots
+from keepwell.llm.staging import is_taken, small_batches, stage, taken_slots
 from keepwell.llm.words import gram_hashes, mix, power_tables, text_buffer, words_of
 
 PASSAGE = 50
@@ -32,7 +34,7 @@ GRAM = 17
 # A passage's minimiser is the least of so many GRAM-word sequences.
 CHOICES = PASSAGE - GRAM + 1
 # Slots (in bits) of the filter that says which retained suffixes have a partner.
-PICK_BITS = 24
+PICK_BITS = 27
 PLACE_BITS = np.uint64(24)
 
 
@@ -87,54 +89,95 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 
 
 def _passages(docs: DataFrame, picked) -> DataFrame:
-    """(h, doc, k, w): the windows of retained suffixes that may have a partner; k digests the text."""
+    """(h, doc, kw): the windows of retained suffixes that may have a partner, each once for its text.
+
+    kw: a digest of the text above, the first word's number below.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = picked.value
         for batch in batches:
             words, _, _, at = words_of(*text_buffer(batch.column(2)), fold_case=False)
             texts, first, chosen, _ = _windows(words, at)
-            hit = wanted[(chosen >> np.uint64(64 - PICK_BITS)).astype(np.int64)]
+            hit = is_taken(wanted, (chosen >> np.uint64(64 - PICK_BITS)).astype(np.int64))
             texts, first = texts[hit], first[hit]
-            take = pa.array(texts)
-            hashes = _passage_hashes(words, at[texts] + first) if len(texts) else np.zeros(0, np.uint64)
+            hashes = _passage_hashes(words, at[texts] + first)
+            order, new = _sorted_windows(texts, hashes)
+            order = np.sort(order[new])
+            texts, first, hashes = texts[order], first[order], hashes[order]
+            kw = (batch.column(1).to_numpy()[texts] << np.int64(32)) | first
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(first, pa.int32())],
-                names=["h", "doc", "k", "w"],
+                [pa.array(hashes.view(np.int64)), batch.column(0).take(pa.array(texts)), pa.array(kw)],
+                names=["h", "doc", "kw"],
             )
 
-    return docs.select("doc", "k", "text").mapInArrow(run, "h long, doc long, k long, w int")
+    return docs.select("doc", "k", "text").mapInArrow(run, "h long, doc long, kw long")
+
+
+def _sorted_windows(texts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the windows by text and content, and where in it a new content begins."""
+    order = np.lexsort((hashes, texts))  # stable: equal windows stay in the order of their places
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (texts[order[1:]] != texts[order[:-1]]) | (hashes[order[1:]] != hashes[order[:-1]])
+    return order, new
+
+
+def _own_spans(docs: DataFrame) -> DataFrame:
+    """Spans that repeat an earlier place of the same text, found inside the text; the place before is the original."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, _, _, at = words_of(*text_buffer(batch.column(2)), fold_case=False)
+            texts, first, _, _ = _windows(words, at)
+            order, new = _sorted_windows(texts, _passage_hashes(words, at[texts] + first))
+            again = np.flatnonzero(~new)
+            here, back = order[again], first[order[again]] - first[order[again - 1]]
+            by_place = np.argsort(here, kind="stable")
+            here, back = here[by_place], back[by_place]
+            begin = np.ones(len(here), dtype=bool)
+            begin[1:] = (here[1:] != here[:-1] + 1) | (back[1:] != back[:-1]) | (texts[here[1:]] != texts[here[:-1]])
+            a = np.flatnonzero(begin)
+            z = np.append(a[1:], len(here))[: len(a)] - 1
+            doc = batch.column(0).take(pa.array(texts[here[a]]))
+            start = first[here[a]]
+            yield pa.RecordBatch.from_arrays(
+                [doc, batch.column(1).take(pa.array(texts[here[a]])), pa.array(start, pa.int32()),
+                 pa.array(first[here[z]] + PASSAGE, pa.int32()), doc, pa.array(start - back[a], pa.int32())],
+                names=SPAN_NAMES,
+            )
+
+    return docs.select("doc", "k", "text").mapInArrow(run, SPAN)
 
 
 def _repeats(passages: DataFrame) -> DataFrame:
     """(doc, k, w, first_doc, first_w) of every window that stands earlier: neighbours in sorted order are compared."""
-    order = passages.repartition("h").sortWithinPartitions("h", "doc", "k", "w")
+    order = passages.repartition("h").sortWithinPartitions("h", "doc", "kw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the original of the run at the end of the batch before
         for batch in batches:
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            h, w = batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            k, doc = batch.column(2).to_numpy(zero_copy_only=False), batch.column(1)
+            h, doc, kw = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
             new = np.ones(len(h), dtype=bool)
             new[1:] = h[1:] != h[:-1]
             original = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-            plain = doc.fill_null(0).to_numpy()
-            null = doc.is_null().to_numpy(zero_copy_only=False)
-            same = lambda x: x[original] == x
+            values = doc.fill_null(0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False), kw.to_numpy()
             # equal rows are one document, so their windows are one window
-            repeat = np.flatnonzero(~(same(plain) & same(null) & same(k) & same(w)))
+            repeat = np.flatnonzero(~np.logical_and.reduce([x[original] == x for x in values]))
             if len(repeat):
                 of = pa.array(original[repeat])
                 repeat = pa.array(repeat)
                 yield pa.RecordBatch.from_arrays(
-                    [doc.take(repeat), batch.column(2).take(repeat), batch.column(3).take(repeat), doc.take(of), batch.column(3).take(of)],
-                    names=["doc", "k", "w", "first_doc", "first_w"],
+                    [doc.take(repeat), kw.take(repeat), doc.take(of), kw.take(of)],
+                    names=["doc", "kw", "first_doc", "first_kw"],
                 )
             held = batch.slice(int(original[-1]), 1) if len(h) else None
 
-    return order.mapInArrow(run, "doc long, k long, w int, first_doc long, first_w int")
+    word = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return order.mapInArrow(run, "doc long, kw long, first_doc long, first_kw long").select(
+        "doc", F.shiftright("kw", 32).alias("k"), word("kw").alias("w"), "first_doc", word("first_kw").alias("first_w")
+    )
 
 
 def _spans(repeats: DataFrame) -> DataFrame:
@@ -142,7 +185,6 @@ def _spans(repeats: DataFrame) -> DataFrame:
     order = repeats.repartition("doc", "k").sortWithinPartitions("doc", "k", "w", "first_doc", "first_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "k", "start", "stop", "first_doc", "first_start"]
         last = None  # the span still open
         for batch in batches:
             doc, k, w, first_doc, first_w = (batch.column(i) for i in range(5))
@@ -165,14 +207,16 @@ def _spans(repeats: DataFrame) -> DataFrame:
                 rows.insert(0, last)
             last = rows.pop() if rows else last
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate(SPAN_TYPES)], names=names
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(SPAN_TYPES)], names=SPAN_NAMES
             )
         if last:
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(last, SPAN_TYPES, strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(last, SPAN_TYPES, strict=True)], names=SPAN_NAMES)
 
-    return order.mapInArrow(run, "doc long, k long, start int, stop int, first_doc long, first_start int")
+    return order.mapInArrow(run, SPAN)
 
 
+SPAN = "doc long, k long, start int, stop int, first_doc long, first_start int"
+SPAN_NAMES = ["doc", "k", "start", "stop", "first_doc", "first_start"]
 SPAN_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
 
 
@@ -190,11 +234,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     partners = _suffixes(docs).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     picked = docs.sparkSession.sparkContext.broadcast(taken_slots(partners, "h", PICK_BITS))
-    return _spans(_repeats(_passages(docs, picked)))
+    found = _spans(_repeats(_passages(docs, picked))).unionByName(_own_spans(docs))
+    return found.distinct()  # equal rows of one document tell the same
+
+
+def _digest(text: Column) -> Column:
+    """31 bits that tell texts of one id apart."""
+    return F.shiftrightunsigned(F.xxhash64(text), 33)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("k"), "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), _digest(F.col("text")).alias("k"), "text")
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
@@ -227,7 +277,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     cuts = stage(cuts, "cuts")
     columns = docs.columns
-    own = (docs["doc_id"].cast("long").eqNullSafe(cuts["doc"])) & (F.xxhash64(docs["text"]) == cuts["k"])
+    own = (docs["doc_id"].cast("long").eqNullSafe(cuts["doc"])) & (_digest(docs["text"]) == cuts["k"])
     joined = docs.join(cuts, own, "left").drop("doc", "k")
     untouched = joined.filter("_spans is null").drop("_spans")
 
