@@ -151,5 +151,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     decoded = decode_ids(encode_texts(docs, path, pattern), path, pattern)
     return decoded.select(
         "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.decode("decoded", F.lit("UTF-8")).alias("text"),
+        F.decode("decoded", "UTF-8").alias("text"),
     )
