@@ -16,7 +16,6 @@ without any training row every score is 0.5.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,21 +78,36 @@ def _train(z: np.ndarray, n: np.ndarray, slots: np.ndarray, label: float) -> Non
 INTERCEPT = 0
 
 
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's documents as one row: all slots end to end, with lengths, labels and the documents' own draws."""
+    pdf = pdf.sort_values(["drawn", "label"], kind="stable")
+    return pd.DataFrame(
+        {
+            "slots": [b"".join(pdf["slots"])],
+            "lengths": [(pdf["slots"].str.len() // 4).to_numpy("<i4").tobytes()],
+            "labels": [pdf["label"].to_numpy("<f8").tobytes()],
+        }
+    )
+
+
 def _round(start, round_: int):
-    """The function that trains one shard from the broadcast state, in an order drawn for the round."""
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-        at, z_at, n_at = start.value
-        z[at], n[at] = z_at, n_at
-        drawn = [zlib.crc32(f"{round_} {d} {v}".encode()) for d, v in zip(pdf["doc_id"], pdf["label"], strict=True)]
-        pdf = pdf.iloc[np.argsort(drawn, kind="stable")]
-        for slots, label in zip(pdf["slots"], pdf["label"], strict=True):
-            _train(z, n, np.frombuffer(slots, dtype="<i4"), label)
-        used = np.flatnonzero(n)
-        return pd.DataFrame(
-            {"slots": [used.astype("<i4").tobytes()], "z": [z[used].tobytes()], "n": [n[used].tobytes()]}
-        )
+    """The function that trains each shard from the broadcast state, in an order drawn for the round."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+                at, z_at, n_at = start.value
+                z[at], n[at] = z_at, n_at
+                slots, labels = np.frombuffer(row["slots"], "<i4"), np.frombuffer(row["labels"])
+                ends = np.cumsum(np.frombuffer(row["lengths"], "<i4"))
+                for i in np.random.RandomState(round_).permutation(len(ends)):
+                    _train(z, n, slots[ends[i - 1] if i else 0 : ends[i]], labels[i])
+                used = np.flatnonzero(n)
+                state = used.astype("<i4"), z[used].astype("<f4"), n[used].astype("<f4")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()], pa.binary()) for x in state], names=["slots", "z", "n"]
+                )
 
     return learn
 
@@ -118,22 +132,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
             )
 
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    rows = joined.mapInArrow(featurise, "doc_id long, label double, slots binary")
-    shard = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(SHARDS)).cast("int").alias("shard")
-    rows = stage(rows.select("doc_id", "label", "slots", shard).repartition(SHARDS, "shard"), "features")
+    drawn = F.xxhash64(F.lit(7), "doc_id").alias("drawn")
+    rows = joined.mapInArrow(featurise, "doc_id long, label double, slots binary").select(
+        drawn, F.pmod(drawn, F.lit(SHARDS)).alias("shard"), "label", "slots"
+    )
+    # one row for each shard: SAMPLE / SHARDS documents, moved once and read by every round
+    shards = stage(rows.groupBy("shard").applyInPandas(_pack, "slots binary, lengths binary, labels binary"), "shards")
 
     z = np.zeros(1 << BITS)
     n = np.zeros(1 << BITS)
     for round_ in range(rounds):
         start = spark.sparkContext.broadcast((np.flatnonzero(n), z[n > 0], n[n > 0]))
         learn = _round(start, round_)
-        # a shard holds SAMPLE / SHARDS bounded rows; one state comes back from each
-        states = rows.groupBy("shard").applyInPandas(learn, "slots binary, z binary, n binary")
+        states = shards.mapInArrow(learn, "slots binary, z binary, n binary")
         z_sum, n_sum, seen = np.zeros(1 << BITS), np.zeros(1 << BITS), 0
         for state in states.toLocalIterator():
             at = np.frombuffer(state["slots"], dtype="<i4")
-            z_sum[at] += np.frombuffer(state["z"])
-            n_sum[at] += np.frombuffer(state["n"])
+            z_sum[at] += np.frombuffer(state["z"], dtype="<f4")
+            n_sum[at] += np.frombuffer(state["n"], dtype="<f4")
             seen += 1
         z, n = z_sum / max(seen, 1), n_sum / max(seen, 1)
         start.unpersist()
