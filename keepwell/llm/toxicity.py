@@ -17,6 +17,7 @@ without any training row every score is 0.5.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 
 from keepwell.llm.staging import small_batches, stage
 from keepwell.llm.words import FACTORS, mix, text_buffer, words_of
+from keepwell.session import fresh_path
 
 BITS = 20
 SAMPLE = 24_000
 SHARDS = 4
+# Rows that hold a shard's documents: a task trains on one after the other.
+PIECES = 32
 ROUNDS = 8
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.0
 HELD_OUT_OF = 5
@@ -79,10 +83,12 @@ INTERCEPT = 0
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A shard's documents as one row: all slots end to end, with lengths, labels and the documents' own draws."""
+    """A piece's documents as one row: all slots end to end, with lengths, labels and the documents' own draws."""
     pdf = pdf.sort_values(["drawn", "label"], kind="stable")
     return pd.DataFrame(
         {
+            "shard": pdf["shard"].iloc[:1],
+            "piece": pdf["piece"].iloc[:1],
             "slots": [b"".join(pdf["slots"])],
             "lengths": [(pdf["slots"].str.len() // 4).to_numpy("<i4").tobytes()],
             "labels": [pdf["label"].to_numpy("<f8").tobytes()],
@@ -90,24 +96,30 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+PACKED = "piece int, slots binary, lengths binary, labels binary, shard int"
+
+
 def _round(start, round_: int):
-    """The function that trains each shard from the broadcast state, in an order drawn for the round."""
+    """The function that trains one shard from the broadcast state, with an order in each piece drawn for the round."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+        at, z_at, n_at = start.value
+        z[at], n[at] = z_at, n_at
+        trained = False
         for batch in batches:
-            for row in batch.to_pylist():
-                z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-                at, z_at, n_at = start.value
-                z[at], n[at] = z_at, n_at
-                slots, labels = np.frombuffer(row["slots"], "<i4"), np.frombuffer(row["labels"])
-                ends = np.cumsum(np.frombuffer(row["lengths"], "<i4"))
-                for i in np.random.RandomState(round_).permutation(len(ends)):
+            for piece, slots, lengths, labels in zip(*(batch.column(k) for k in range(4)), strict=True):
+                slots, labels = np.frombuffer(slots.as_buffer(), "<i4"), np.frombuffer(labels.as_buffer())
+                ends = np.cumsum(np.frombuffer(lengths.as_buffer(), "<i4"))
+                for i in np.random.RandomState([round_, piece.as_py()]).permutation(len(ends)):
                     _train(z, n, slots[ends[i - 1] if i else 0 : ends[i]], labels[i])
-                used = np.flatnonzero(n)
-                state = used.astype("<i4"), z[used].astype("<f4"), n[used].astype("<f4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in state], names=["slots", "z", "n"]
-                )
+                trained = True
+        if trained:
+            used = np.flatnonzero(n)
+            state = used.astype("<i4"), z[used].astype("<f4"), n[used].astype("<f4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes()], pa.binary()) for x in state], names=["slots", "z", "n"]
+            )
 
     return learn
 
@@ -134,19 +146,26 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     drawn = F.xxhash64(F.lit(7), "doc_id").alias("drawn")
     rows = joined.mapInArrow(featurise, "doc_id long, label double, slots binary").select(
-        drawn, F.pmod(drawn, F.lit(SHARDS)).alias("shard"), "label", "slots"
-    )
-    # one row for each shard: SAMPLE / SHARDS documents, moved once and read by every round
-    shards = stage(rows.groupBy("shard").applyInPandas(_pack, "slots binary, lengths binary, labels binary"), "shards")
+        drawn, F.pmod(drawn, F.lit(SHARDS)).cast("int").alias("shard"),
+        F.pmod(F.floor(drawn / SHARDS), F.lit(PIECES)).cast("int").alias("piece"), "label", "slots",
+    )
+    # SAMPLE / SHARDS / PIECES documents a row, moved once; a round reads a shard's rows without a shuffle
+    path = fresh_path(spark, "shards")
+    rows.groupBy("shard", "piece").applyInPandas(_pack, PACKED).write.partitionBy("shard").parquet(path)
+    pieces = spark.read.schema(PACKED).parquet(path)
+    # a union keeps a task for each shard instead of joining them into one
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    shards = [pieces.filter(F.col("shard") == k).drop("shard").coalesce(1) for k in range(SHARDS)]
 
     z = np.zeros(1 << BITS)
     n = np.zeros(1 << BITS)
     for round_ in range(rounds):
         start = spark.sparkContext.broadcast((np.flatnonzero(n), z[n > 0], n[n > 0]))
         learn = _round(start, round_)
-        states = shards.mapInArrow(learn, "slots binary, z binary, n binary")
+        states = [shard.mapInArrow(learn, "slots binary, z binary, n binary") for shard in shards]
         z_sum, n_sum, seen = np.zeros(1 << BITS), np.zeros(1 << BITS), 0
-        for state in states.toLocalIterator():
+        # SHARDS rows of at most 12 * 2**BITS bytes, from tasks that run side by side
+        for state in reduce(DataFrame.unionAll, states).collect():
             at = np.frombuffer(state["slots"], dtype="<i4")
             z_sum[at] += np.frombuffer(state["z"], dtype="<f4")
             n_sum[at] += np.frombuffer(state["n"], dtype="<f4")
