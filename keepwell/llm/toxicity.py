@@ -144,10 +144,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
             )
 
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    drawn = F.xxhash64(F.lit(7), "doc_id").alias("drawn")
+    drawn = F.xxhash64(F.lit(7), "doc_id")
     rows = joined.mapInArrow(featurise, "doc_id long, label double, slots binary").select(
-        drawn, F.pmod(drawn, F.lit(SHARDS)).cast("int").alias("shard"),
-        F.pmod(F.floor(drawn / SHARDS), F.lit(PIECES)).cast("int").alias("piece"), "label", "slots",
+        drawn.alias("drawn"), F.pmod(drawn, F.lit(SHARDS)).cast("int").alias("shard"),
+        F.pmod(F.shiftright(drawn, 8), F.lit(PIECES)).cast("int").alias("piece"), "label", "slots",
     )
     # SAMPLE / SHARDS / PIECES documents a row, moved once; a round reads a shard's rows without a shuffle
     path = fresh_path(spark, "shards")
