@@ -160,18 +160,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     z = np.zeros(1 << BITS)
     n = np.zeros(1 << BITS)
     for round_ in range(rounds):
-        start = spark.sparkContext.broadcast((np.flatnonzero(n), z[n > 0], n[n > 0]))
+        start = spark.sparkContext.broadcast(
+            (np.flatnonzero(n).astype("<i4"), z[n > 0].astype("<f4"), n[n > 0].astype("<f4"))
+        )
         learn = _round(start, round_)
         states = [shard.mapInArrow(learn, "slots binary, z binary, n binary") for shard in shards]
         z_sum, n_sum, seen = np.zeros(1 << BITS), np.zeros(1 << BITS), 0
-        # SHARDS rows of at most 12 * 2**BITS bytes, from tasks that run side by side
-        for state in reduce(DataFrame.unionAll, states).collect():
+        # SHARDS rows of at most 12 * 2**BITS bytes: one is added up while the next is trained
+        for state in reduce(DataFrame.unionAll, states).toLocalIterator(prefetchPartitions=True):
             at = np.frombuffer(state["slots"], dtype="<i4")
             z_sum[at] += np.frombuffer(state["z"], dtype="<f4")
             n_sum[at] += np.frombuffer(state["n"], dtype="<f4")
             seen += 1
         z, n = z_sum / max(seen, 1), n_sum / max(seen, 1)
-        start.unpersist()
+        start.destroy()
     return _weights(z, n).astype(np.float32)
 
 
