@@ -34,6 +34,8 @@ SAMPLE = 24_000
 SHARDS = 4
 # Rows that hold a shard's documents: a task trains on one after the other.
 PIECES = 32
+# Slots of a shard's state that travel in one row.
+STATE_SLOTS = 1 << 15
 ROUNDS = 8
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.0
 HELD_OUT_OF = 5
@@ -116,10 +118,12 @@ def _round(start, round_: int):
                 trained = True
         if trained:
             used = np.flatnonzero(n)
-            state = used.astype("<i4"), z[used].astype("<f4"), n[used].astype("<f4")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes()], pa.binary()) for x in state], names=["slots", "z", "n"]
-            )
+            for at in np.array_split(used, -(-len(used) // STATE_SLOTS)):
+                state = at.astype("<i4"), z[at].astype("<f4"), n[at].astype("<f4")
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([x.tobytes()], pa.binary()) for x in state), pa.array([bool(at[0] == used[0])])],
+                    names=["slots", "z", "n", "first"],
+                )
 
     return learn
 
@@ -157,22 +161,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     shards = [pieces.filter(F.col("shard") == k).drop("shard").coalesce(1) for k in range(SHARDS)]
 
-    z = np.zeros(1 << BITS)
-    n = np.zeros(1 << BITS)
+    z, n = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
     for round_ in range(rounds):
         start = spark.sparkContext.broadcast(
-            (np.flatnonzero(n).astype("<i4"), z[n > 0].astype("<f4"), n[n > 0].astype("<f4"))
+            (np.flatnonzero(n).astype("<i4"), z[n > 0], n[n > 0])
         )
         learn = _round(start, round_)
-        states = [shard.mapInArrow(learn, "slots binary, z binary, n binary") for shard in shards]
+        states = [shard.mapInArrow(learn, "slots binary, z binary, n binary, first boolean") for shard in shards]
         z_sum, n_sum, seen = np.zeros(1 << BITS), np.zeros(1 << BITS), 0
-        # SHARDS rows of at most 12 * 2**BITS bytes: one is added up while the next is trained
-        for state in reduce(DataFrame.unionAll, states).toLocalIterator(prefetchPartitions=True):
+        # SHARDS states of at most 12 * 2**BITS bytes, one at a time
+        for state in reduce(DataFrame.unionAll, states).toLocalIterator():
             at = np.frombuffer(state["slots"], dtype="<i4")
             z_sum[at] += np.frombuffer(state["z"], dtype="<f4")
             n_sum[at] += np.frombuffer(state["n"], dtype="<f4")
-            seen += 1
-        z, n = z_sum / max(seen, 1), n_sum / max(seen, 1)
+            seen += state["first"]
+        z, n = (z_sum / max(seen, 1)).astype(np.float32), (n_sum / max(seen, 1)).astype(np.float32)
         start.destroy()
     return _weights(z, n).astype(np.float32)
 
