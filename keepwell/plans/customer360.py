@@ -43,10 +43,13 @@ def most_frequent(value: Column, keep_null: bool = False) -> Column:
 
 
 def activity_measures(counts: Column, amount: Column, age_days: Column, windows: Sequence[int]) -> list[Column]:
-    """Count and cents of the last n days, for each n, inside one aggregate."""
+    """Count and cents of the last n days up to the as-of day, for each n, inside one aggregate.
+
+    Rows dated after the as-of day belong to the totals, but not to the recent past.
+    """
     measures = []
     for days in windows:
-        recent = counts & (age_days <= days)
+        recent = counts & age_days.between(0, days)
         measures.append(F.count_if(recent).alias(f"transactions_last_{days}d"))
         measures.append(_sum_cents(recent, amount).alias(f"cents_last_{days}d"))
     return measures
@@ -62,10 +65,13 @@ def _money(names: Sequence[str]) -> dict[str, Column]:
     }
 
 
-def _recency(as_of: Column) -> Column:
-    return F.coalesce(
-        F.datediff(as_of, F.col("last_purchase_date")), F.lit(fixed.NEVER_PURCHASED_DAYS)
-    )
+def _recency() -> Column:
+    """Days from the last purchase up to the as-of day; purchases dated after that day do not count."""
+    return F.coalesce(F.col("least_age"), F.lit(fixed.NEVER_PURCHASED_DAYS))
+
+
+def _least_age(counts: Column, age_days: Column) -> Column:
+    return F.min(F.when(counts & (age_days >= 0), age_days)).alias("least_age")
 
 
 # --- variant N ------------------------------------------------------------------
@@ -103,6 +109,7 @@ def transaction_rollup_n(
         F.count("amount").alias("priced_transactions"),
         F.min("day").alias("first_purchase_date"),
         F.max("day").alias("last_purchase_date"),
+        _least_age(F.lit(True), F.col("age")),
         F.count_if("is_refund_or_return").alias("refund_return_count"),
         most_frequent(channel).alias("preferred_channel"),
         most_frequent(F.col("category")).alias("favorite_category"),
@@ -110,7 +117,7 @@ def transaction_rollup_n(
     )
 
 
-def finish_metrics_n(df: DataFrame, as_of: Column, windows: Sequence[int] = fixed.ACTIVITY_WINDOWS) -> DataFrame:
+def finish_metrics_n(df: DataFrame, windows: Sequence[int] = fixed.ACTIVITY_WINDOWS) -> DataFrame:
     """Money from cents, defaults for customers without transactions, recency and average."""
     money = ["total_cents", "ecommerce_cents", "instore_cents"] + [f"cents_last_{d}d" for d in windows]
     counts = ["total_transactions", "completed_transactions", "refund_return_count"] + [
@@ -122,7 +129,7 @@ def finish_metrics_n(df: DataFrame, as_of: Column, windows: Sequence[int] = fixe
             **_defaults(dict.fromkeys(counts, 0)),
             "avg_order_value": guarded_ratio(from_cents(F.col("total_cents")), F.col("priced_transactions")),
             "customer_lifetime_value_proxy": from_cents(F.coalesce(F.col("total_cents"), F.lit(0))),
-            "days_since_last_purchase": _recency(as_of),
+            "days_since_last_purchase": _recency(),
         }
     )
 
@@ -142,7 +149,7 @@ def profile_n(
     joined = customers.join(loyalty.drop("status", "member_since"), "customer_id", "left").join(
         rollup, "customer_id", "left"
     )
-    return finish_metrics_n(joined, as_of, windows)
+    return finish_metrics_n(joined, windows)
 
 
 def customer_360_n(profile: DataFrame) -> DataFrame:
@@ -196,6 +203,7 @@ def transaction_rollup_p(
             F.count_if(F.col("online") & ~completed).alias("refund_return_count"),
             F.min(F.when(order, at)).alias("first_purchase_date"),
             F.max(F.when(order, at)).alias("last_purchase_date"),
+            _least_age(order, age),
             most_frequent(F.when(order, F.col("category")), keep_null=True).alias("favorite_category"),
             most_frequent(F.when(order, F.col("channel")), keep_null=True).alias("preferred_channel"),
             *activity_measures(completed, amount, age, windows),
@@ -244,7 +252,7 @@ def profile_p(
                 **_money([f"cents_last_{d}d" for d in windows]),
                 "full_name": full_name(),
                 "is_loyalty_member": F.col("loyalty_tier").isNotNull(),
-                "days_since_last_purchase": _recency(as_of),
+                "days_since_last_purchase": _recency(),
                 "customer_tenure_days": F.coalesce(F.datediff(as_of, F.col("registration_date")), F.lit(0)),
             }
         )

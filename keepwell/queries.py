@@ -323,7 +323,7 @@ def preferred_channel_n(env: Env) -> DataFrame:
 @query
 def transaction_metrics_n(env: Env) -> DataFrame:
     rollup = customer360.transaction_rollup_n(env.transactions, None, env.as_of)
-    return customer360.finish_metrics_n(rollup, env.as_of).select(
+    return customer360.finish_metrics_n(rollup).select(
         "customer_id", "total_transactions", "completed_transactions", "total_revenue", "ecommerce_revenue",
         "instore_revenue", "avg_order_value", "first_purchase_date", "last_purchase_date",
         "refund_return_count", "days_since_last_purchase",
@@ -347,7 +347,7 @@ _ACTIVITY = ("customer_id", "transactions_last_30d", "revenue_last_30d", "transa
 @query
 def recent_activity_n(env: Env) -> DataFrame:
     rollup = customer360.transaction_rollup_n(env.transactions, None, env.as_of)
-    return customer360.finish_metrics_n(rollup, env.as_of).select(*_ACTIVITY)
+    return customer360.finish_metrics_n(rollup).select(*_ACTIVITY)
 
 
 @query

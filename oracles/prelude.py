@@ -210,6 +210,7 @@ n_metrics AS (
          CAST(sum(CAST(gross_amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_order_value,
          CAST(min(transaction_timestamp) AS DATE) AS first_purchase_date,
          CAST(max(transaction_timestamp) AS DATE) AS last_purchase_date,
+         max(CAST(transaction_timestamp AS DATE)) FILTER (CAST(transaction_timestamp AS DATE) <= {AS_OF}) AS last_counted_date,
          count(*) FILTER (is_refund_or_return) AS refund_return_count
   FROM transactions WHERE customer_id IS NOT NULL GROUP BY 1
 ),
@@ -222,7 +223,7 @@ n_360 AS (
          coalesce(instore_revenue, 0.0) AS instore_revenue,
          coalesce(avg_order_value, 0.0) AS avg_order_value,
          first_purchase_date, last_purchase_date,
-         CAST(coalesce(date_diff('day', last_purchase_date, {AS_OF}), 9999) AS INTEGER) AS days_since_last_purchase,
+         CAST(coalesce(date_diff('day', last_counted_date, {AS_OF}), 9999) AS INTEGER) AS days_since_last_purchase,
          favorite_category, preferred_channel,
          coalesce(refund_return_count, 0) AS refund_return_count,
          coalesce(total_revenue, 0.0) AS customer_lifetime_value_proxy
@@ -234,10 +235,10 @@ n_360 AS (
 ),
 n_activity AS (
   SELECT customer_id,
-         count(*) FILTER (age <= 30) AS transactions_last_30d,
-         CAST(sum(CASE WHEN age <= 30 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_30d,
-         count(*) FILTER (age <= 90) AS transactions_last_90d,
-         CAST(sum(CASE WHEN age <= 90 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_90d
+         count(*) FILTER (age BETWEEN 0 AND 30) AS transactions_last_30d,
+         CAST(sum(CASE WHEN age BETWEEN 0 AND 30 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_30d,
+         count(*) FILTER (age BETWEEN 0 AND 90) AS transactions_last_90d,
+         CAST(sum(CASE WHEN age BETWEEN 0 AND 90 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_90d
   FROM (SELECT customer_id, CAST(gross_amount AS DECIMAL(18,2)) AS amt,
                date_diff('day', CAST(transaction_timestamp AS DATE), {AS_OF}) AS age
         FROM transactions WHERE customer_id IS NOT NULL)
@@ -335,7 +336,8 @@ p_refunds AS (
   WHERE order_status IN ('Refunded', 'Returned') AND customer_id IS NOT NULL GROUP BY 1
 ),
 p_dates AS (
-  SELECT customer_id, min(order_date) AS first_purchase_date, max(order_date) AS last_purchase_date
+  SELECT customer_id, min(order_date) AS first_purchase_date, max(order_date) AS last_purchase_date,
+         max(order_date) FILTER (CAST(order_date AS DATE) <= {AS_OF}) AS last_counted_date
   FROM p_orders WHERE order_status = 'Completed' AND customer_id IS NOT NULL GROUP BY 1
 ),
 p_category AS (
@@ -364,7 +366,7 @@ p_360 AS (
               THEN CAST(coalesce(ecom_revenue, 0) + coalesce(pos_revenue, 0) AS DOUBLE)
                    / (coalesce(ecom_orders, 0) + coalesce(pos_orders, 0)) ELSE 0.0 END AS avg_order_value,
          first_purchase_date, last_purchase_date,
-         CAST(coalesce(date_diff('day', CAST(last_purchase_date AS DATE), {AS_OF}), 9999) AS INTEGER) AS days_since_last_purchase,
+         CAST(coalesce(date_diff('day', CAST(last_counted_date AS DATE), {AS_OF}), 9999) AS INTEGER) AS days_since_last_purchase,
          favorite_category, preferred_channel,
          coalesce(refund_return_count, 0) AS refund_return_count,
          CAST(coalesce(ecom_revenue, 0) + coalesce(pos_revenue, 0) AS DOUBLE) AS customer_lifetime_value_proxy
@@ -379,10 +381,10 @@ p_360 AS (
 ),
 p_recent AS (
   SELECT customer_id,
-         count(*) FILTER (bought >= {AS_OF} - 30) AS transactions_last_30d,
-         CAST(sum(CASE WHEN bought >= {AS_OF} - 30 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_30d,
-         count(*) FILTER (bought >= {AS_OF} - 90) AS transactions_last_90d,
-         CAST(sum(CASE WHEN bought >= {AS_OF} - 90 THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_90d
+         count(*) FILTER (bought >= {AS_OF} - 30 AND CAST(bought AS DATE) <= {AS_OF}) AS transactions_last_30d,
+         CAST(sum(CASE WHEN bought >= {AS_OF} - 30 AND CAST(bought AS DATE) <= {AS_OF} THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_30d,
+         count(*) FILTER (bought >= {AS_OF} - 90 AND CAST(bought AS DATE) <= {AS_OF}) AS transactions_last_90d,
+         CAST(sum(CASE WHEN bought >= {AS_OF} - 90 AND CAST(bought AS DATE) <= {AS_OF} THEN amt ELSE 0 END) AS DOUBLE) AS revenue_last_90d
   FROM (
     SELECT customer_id, order_date AS bought, CAST(order_amount AS DECIMAL(18,2)) AS amt
     FROM p_orders WHERE order_status = 'Completed'

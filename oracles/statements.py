@@ -165,7 +165,8 @@ SELECT count(*) AS total_rows, count(*) FILTER (customer_id IS NULL) AS null_cus
 SELECT customer_id, favorite_category FROM n_metrics LEFT JOIN n_category USING (customer_id)""",
     preferred_channel_n="SELECT * FROM n_channel",
     transaction_metrics_n=f"""
-SELECT *, CAST(date_diff('day', last_purchase_date, {p.AS_OF}) AS INTEGER) AS days_since_last_purchase FROM n_metrics""",
+SELECT * EXCLUDE (last_counted_date),
+  CAST(coalesce(date_diff('day', last_counted_date, {p.AS_OF}), 9999) AS INTEGER) AS days_since_last_purchase FROM n_metrics""",
     gold_customer_360_n="SELECT * FROM n_360",
     recent_activity_n=f"SELECT {_ACTIVITY} FROM n_activity",
     churn_features_n="SELECT * FROM n_features",

@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-SMALL = "/root/testdata/sf0.001"
+from retail_helpers import SMALL
 
 
 @pytest.fixture(scope="session")
@@ -35,9 +35,3 @@ def env(spark):
     from keepwell.queries import Env
 
     return Env(spark, SMALL)
-
-
-def rows(df, *columns):
-    """Collected rows as a sorted list of tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

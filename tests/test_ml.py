@@ -1,7 +1,7 @@
 """Training, choice, importance and deployment share one fitted pipeline."""
 
 import pytest
-from conftest import SMALL, rows
+from retail_helpers import SMALL, rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 

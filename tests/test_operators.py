@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows
+from retail_helpers import rows
 from pyspark.sql import functions as F
 
 from keepwell.functions.draws import uniform

@@ -2,7 +2,7 @@
 
 import pytest
 from compare import difference, oracle_connection
-from conftest import SMALL
+from retail_helpers import SMALL
 
 import __spark_entry__ as entry
 from keepwell.queries import QUERIES

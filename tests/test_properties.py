@@ -1,6 +1,6 @@
 """Properties that hold on the supplied tables as a whole."""
 
-from conftest import rows
+from retail_helpers import SMALL, rows
 from pyspark.sql import functions as F
 
 from keepwell.plans import churn
@@ -26,7 +26,7 @@ def test_scores_stay_in_range(env):
 
 def test_known_figures(env):
     bands = {r.churn_risk_band: r["count"] for r in env.scores_n.groupBy("churn_risk_band").count().collect()}
-    assert bands == {"High": 63, "Medium": 78, "Low": 9}
+    assert bands == {"High": 63, "Medium": 77, "Low": 10}
     assert env.features_n.filter("days_since_last_purchase = 9999").count() == 6
 
 
@@ -56,10 +56,20 @@ def test_an_earlier_day_sees_no_later_rows(env):
     assert earlier.customers_n.filter("customer_tenure_days < 0").count() == 0
 
 
+def test_rows_after_the_day_are_no_recent_activity(env):
+    assert env.transactions.filter(F.col("transaction_timestamp") > F.lit(env.inputs.as_of)).count() > 0
+    for frame in (env.c360_n, env.c360_p):
+        assert frame.filter("days_since_last_purchase < 0").count() == 0
+    early = env.c360_n.filter(F.col("first_purchase_date") > env.as_of)
+    assert early.filter("days_since_last_purchase <> 9999").count() == 0
+
+
 def test_result_does_not_depend_on_shuffle_partitions(spark, env):
+    from keepwell.queries import Env
+
     before = rows(env.actions_n)
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     try:
-        assert rows(env.earlier(env.inputs.as_of).actions_n) == before
+        assert rows(Env(spark, SMALL).actions_n) == before  # the same state, planned anew
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")

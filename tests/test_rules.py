@@ -1,7 +1,7 @@
 """Boundaries of the score cards, bands, reasons and segments."""
 
 import pytest
-from conftest import rows
+from retail_helpers import rows
 from pyspark.sql import functions as F
 
 from keepwell import fixed_values as fixed

@@ -4,7 +4,7 @@ import datetime as dt
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from retail_helpers import rows
 from pyspark.sql import functions as F
 
 from keepwell.operators import dedup, ranking

@@ -1,7 +1,7 @@
 """Streams take each file once, survive a restart and agree with the batch result."""
 
 import pytest
-from conftest import rows
+from retail_helpers import rows
 from pyspark.sql import functions as F
 
 from keepwell.operators import quality

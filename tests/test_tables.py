@@ -1,7 +1,7 @@
 """The tables over a user's own source frames, here generated ones with text keys."""
 
 import pytest
-from conftest import rows
+from retail_helpers import rows
 from pyspark.sql import functions as F
 
 from keepwell.plans.medallion import refresh_gold
