@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.llm import bpe_tree, chat, jaccard_join, mixing, quality_rules, sharding, suffix_dedup, token_counts, topk, toxicity
+from keepwell.llm import (
+    bpe_tree, chat, decontamination, jaccard_join, mixing, periodic_runs, quality_rules, sharding, spelling, suffix_dedup,
+    token_counts, topk, toxicity,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,9 +59,26 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_report(_table(spark, folder, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination_report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_threshold_topk, op2_toxicity, op3_chat_formatting, op4_bpe_codec, op5_suffix_dedup, op6_ngram_jaccard_join, op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules)
-}
+    f.__name__: f
+    for f in (
+        op1_threshold_topk, op2_toxicity, op3_chat_formatting, op4_bpe_codec, op5_suffix_dedup, op6_ngram_jaccard_join,
+        op7_token_counts, op8_mixing, op9_sharding, op10_quality_rules, op11_spelling_variants, op12_decontamination,
+        op13_periodic_runs,
+    )
+}
 LLM_SQL: dict[str, str] = {
     "op1_threshold_topk": """
         WITH fine AS (

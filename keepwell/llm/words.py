@@ -59,9 +59,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end byte of every word, and the n + 1 word offsets of the texts."""
-    white = WHITE[data]
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, fold_case: bool, white: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end byte of every word, and the n + 1 word offsets of the texts.
+
+    white: for every byte value whether it stands in no word.
+    """
+    white = white[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     if len(data):
         edge[offsets[:-1][offsets[:-1] < len(data)]] = True  # a word ends where its text ends
