@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 INSERT, DELETE = "insert", "delete"
 BEFORE, AFTER = "update_preimage", "update_postimage"
 CHANGE = "_change_type"
+# Marks the catalogue's names of single versions of a table.
+SNAPSHOT = "__snapshot_"
 
 
 def _wrapped(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -111,7 +113,7 @@ def describe(df: DataFrame, name: str) -> DataFrame:
 
 
 def matching_tables(spark: SparkSession, keywords: Sequence[str], database: str) -> list[str]:
-    """Names of catalogue tables that contain any keyword."""
+    """Names of catalogue tables that contain any keyword; single versions of a table are not listed."""
     lowered = [word.lower() for word in keywords]
     names = (table.name for table in spark.catalog.listTables(database))
-    return sorted(name for name in names if any(word in name.lower() for word in lowered))
+    return sorted(name for name in names if SNAPSHOT not in name and any(word in name.lower() for word in lowered))

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from keepwell.plans import actions, churn, customer360
-from keepwell.sources.tables import create_database, publish
+from keepwell.sources.served import ServedCopy, sync
+from keepwell.sources.tables import create_database, publish, table_at, table_feed, version_log
 
 COMMENTS = {
     "customer_profile": "One wide row per customer behind the gold tables",
@@ -24,10 +25,26 @@ COMMENTS = {
 class GoldTables:
     spark: SparkSession
     database: str
+    base: str
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 
+    def latest(self, name: str) -> int:
+        """Number of a table's newest version."""
+        return version_log(self.spark, f"{self.database}.{name}", self.base).latest()
+
+    def at(self, name: str, version: int) -> DataFrame:
+        return table_at(self.spark, f"{self.database}.{name}", self.base, version)
+
+    def feed(self, name: str, old: int, new: int, key: str = "customer_id") -> DataFrame:
+        """The row-level changes between two refreshes."""
+        return table_feed(self.spark, f"{self.database}.{name}", self.base, old, new, key)
+
+    def sync(self, name: str, copy: ServedCopy) -> int:
+        """Bring a served copy to the newest refresh."""
+        return sync(self.spark, f"{self.database}.{name}", self.base, copy)
+
 
 def refresh_gold(
     spark: SparkSession, database: str, base: str, profile: DataFrame, kpis: DataFrame | None, variant: str
@@ -64,4 +81,4 @@ def refresh_gold(
         list(pool.map(lambda item: put(*item), projections.items()))
         if daily:
             daily.result()
-    return GoldTables(spark, database)
+    return GoldTables(spark, database, base)

@@ -16,7 +16,9 @@ from keepwell.plans.medallion import GoldTables, refresh_gold
 from keepwell.plans.tables import CustomerTables
 from keepwell.session import fresh_path
 from keepwell.sources import generate
+from keepwell.sources.files import SharedFiles
 from keepwell.sources.retail_inputs import AS_OF, RetailInputs
+from keepwell.sources.served import ServedCopy
 from keepwell.sources.tables import manifest, publish
 from keepwell.streaming import ingest
 from keepwell.streaming.refresh import profile_from_silver, stream_to_silver
@@ -51,21 +53,30 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
-_DATABASES: dict[tuple[str, ...], GoldTables] = {}
+_DATABASES: dict[tuple, GoldTables] = {}
+
+
+def _inputs_now(env: Env) -> tuple:
+    """What is kept for a session is kept for these files: other sizes or times of change mean other input."""
+    listing = SharedFiles(env.spark).listing(env.folder)
+    return (env.spark.sparkContext.applicationId, env.folder, env.inputs.as_of, env.inputs.until, *listing)
 
 
 def gold(env: Env, variant: str = "N") -> GoldTables:
-    """The gold tables of a folder, refreshed once per session into the shared folder."""
-    key = (env.spark.sparkContext.applicationId, env.folder, env.inputs.as_of, env.inputs.until, variant)
+    """The gold tables of a folder, refreshed once per session and state of the files into the shared folder."""
+    key = (*_inputs_now(env), variant)
     if key not in _DATABASES:
-        database = f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
         profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
         _DATABASES[key] = refresh_gold(
-            env.spark, database, fresh_path(env.spark, "gold"), profile, daily, variant
+            env.spark, _new_database(variant), fresh_path(env.spark, "gold"), profile, daily, variant
         )
     return _DATABASES[key]
 
 
+def _new_database(variant: str) -> str:
+    return f"retail_{variant.lower()}_{uuid.uuid4().hex[:12]}"
+
+
 def features(env: Env, variant: str = "N") -> DataFrame:
     return gold(env, variant)["gold_customer_churn_features"]
 
@@ -456,33 +467,45 @@ def latest_kpis(env: Env) -> DataFrame:
 EARLIER_AS_OF = "2001-07-02"
 
 
-def _snapshots(env: Env, table: str) -> tuple[DataFrame, DataFrame]:
-    """The stored table as of the earlier day and as of today; both bucketed on the key."""
-    return gold(env.earlier(EARLIER_AS_OF))[table], gold(env)[table]
+_SYNCED = ("gold_customer_churn_scores", "gold_next_best_actions", "gold_customer_360")
+_HISTORIES: dict[tuple, tuple[GoldTables, dict[str, ServedCopy]]] = {}
+
+
+def _history(env: Env) -> tuple[GoldTables, dict[str, ServedCopy]]:
+    """Gold tables refreshed on two days, and served copies synced after each: version 1 of all is the earlier day."""
+    key = _inputs_now(env)
+    if key not in _HISTORIES:
+        base = fresh_path(env.spark, "history")
+        database = _new_database("N")
+        copies = {name: ServedCopy(env.spark, f"{base}/served/{name}", "customer_id") for name in _SYNCED}
+        # today's refresh starts from today's stored profile; the rest of it are projections
+        for profile in (env.earlier(EARLIER_AS_OF).profile_n, gold(env)["customer_profile"]):
+            tables = refresh_gold(env.spark, database, base, profile, None, "N")
+            for name, copy in copies.items():
+                tables.sync(name, copy)
+        _HISTORIES[key] = tables, copies
+    return _HISTORIES[key]
 
 
 @query
 def cdc_snapshot_diff(env: Env) -> DataFrame:
-    return sync.snapshot_diff(*_snapshots(env, "gold_customer_churn_scores"), "customer_id")
+    """The changes of one table between two refreshes, from its versions."""
+    return _history(env)[0].feed("gold_customer_churn_scores", 1, 2)
 
 
 @query
 def sync_upsert_merge(env: Env) -> DataFrame:
-    """The earlier serving copy brought up to date with the change feed."""
-    served, current = _snapshots(env, "gold_customer_churn_scores")
-    return sync.upsert_merge(served, sync.snapshot_diff(served, current, "customer_id"), "customer_id")
-
-
-_SYNCED = ("gold_customer_churn_scores", "gold_next_best_actions", "gold_customer_360")
+    """The stored serving copy, made on the earlier day and brought up to date with the change feed."""
+    return _history(env)[1]["gold_customer_churn_scores"].read()
 
 
 @query
 def sync_verify(env: Env) -> DataFrame:
-    """Stored gold against a stale copy of each synced table, and against one brought up to date."""
-    pairs = [(name, *reversed(_snapshots(env, name))) for name in _SYNCED]
-    name, current, stale = pairs[0]
-    merged = sync.upsert_merge(stale, sync.snapshot_diff(stale, current, "customer_id"), "customer_id")
-    return sync.sync_checks([*pairs, (f"{name} after sync", current, merged)])
+    """Stored gold against the copies as they were before the second sync, and against one that is up to date."""
+    tables, copies = _history(env)
+    pairs = [(name, tables[name], copies[name].read(1)) for name in _SYNCED]
+    name = _SYNCED[0]
+    return sync.sync_checks([*pairs, (f"{name} after sync", tables[name], copies[name].read())])
 
 
 @query
@@ -796,12 +819,12 @@ def deploy_summary(env: Env) -> DataFrame:
 
 
 # trained once per folder and session, on the stored features with the noisy label
-_TRAINED: dict[tuple[str, str], dict[str, ml.Trained]] = {}
-_PREPARED: dict[tuple[str, str], tuple] = {}
+_TRAINED: dict[tuple, dict[str, ml.Trained]] = {}
+_PREPARED: dict[tuple, tuple] = {}
 
 
 def _training_set(env: Env) -> tuple:
-    key = (env.spark.sparkContext.applicationId, env.folder)
+    key = _inputs_now(env)
     if key not in _PREPARED:
         base = fresh_path(env.spark, "models")
         ml.split_frame(features(env, "P")).write.parquet(f"{base}/split")
@@ -812,7 +835,7 @@ def _training_set(env: Env) -> tuple:
 
 
 def _trained(env: Env, name: str) -> ml.Trained:
-    models = _TRAINED.setdefault((env.spark.sparkContext.applicationId, env.folder), {})
+    models = _TRAINED.setdefault(_inputs_now(env), {})
     if name not in models:
         base, split, train, rows, prepared = _training_set(env)
         models[name] = ml.train_candidate(name, prepared, split, train, rows, f"{base}/{name}")
