@@ -277,7 +277,8 @@ def phrase_matches(
         sent = spark.sparkContext.broadcast(tuple(phrases))
         terms = np.unique(phrases.terms[np.arange(window) < phrases.sizes[:, None]])
         wanted = spark.createDataFrame(pd.DataFrame({"term": terms}))
-        lists = index.join(wanted, "term", "left_semi").unionByName(index.filter("term is null"))
+        # no more terms than a slice has words, so the index itself stays where it is
+        lists = index.join(F.broadcast(wanted), "term", "left_semi").unionByName(index.filter("term is null"))
         # no nulls among the terms: pandas would round 64-bit numbers beside them
         lists = lists.select("block", F.coalesce("term", F.lit(0).cast("long")).alias("term"), "n", "positions", "sizes")
         hits = lists.groupBy("block").applyInPandas(_searcher(sent, slop), FOUND)
