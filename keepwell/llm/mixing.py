@@ -7,7 +7,8 @@ two levels: totals of key ranges, then single documents inside the one range whe
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own,
 ordered last; rows with equal id, text and source have equal keys and are taken together; an
-empty table gives an empty result. Equal sizes need no tie-break: the key decides.
+empty table gives an empty result; texts of any length count whole; mixed_documents carries other columns along whatever
+their names. Equal sizes need no tie-break: the key decides.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keepwell.llm.staging import stage
+from keepwell.llm.staging import carried, stage
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -140,14 +141,14 @@ def mixture_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its own columns."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    """The mix itself: every document as often as it is taken, with its own columns, whatever these are called."""
+    rows = carried(docs, doc_id=F.col("doc_id"), source=F.col("source"), text=F.col("text"))
     mixed = mix(
-        docs, F.col("source"), size_in_words(F.col("text")), key_of(F.col("doc_id"), F.col("text")), whole=True
+        rows, F.col("source"), size_in_words(F.col("text")), key_of(F.col("doc_id"), F.col("text")), whole=True
     )
     times = F.when(F.col("_size") > 0, (F.col("_taken") / F.col("_size")).cast("int")).otherwise(F.lit(0))
     return (
         mixed.withColumn("_times", times).filter("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*columns)
+        .select("row.*")
     )

@@ -7,7 +7,8 @@ are merged with their language's, those with the whole corpus's.
 
 Defined cases: a null text counts as empty; a document with fewer than MIN_WORDS words fails the
 base rule; a null language or source is a group of its own; repeated rows are judged one by one
-and alike; an empty table gives an empty result. Other columns are left alone.
+and alike; texts of any length are judged whole; an empty table gives an empty result. keep_good carries other columns
+along whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.staging import stage
+from keepwell.llm.staging import carried, stage
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -244,5 +245,6 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return verdicts(docs).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with their own columns, whatever these are called."""
+    rows = carried(docs, text=F.col("text"), lang=F.col("lang"), source=F.col("source"))
+    return verdicts(rows, keep_text=False).filter("_kept").select("row.*")  # the row holds its text

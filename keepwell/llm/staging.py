@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.session import fresh_path
+from keepwell.sources.files import SharedFiles
 
 # Arrow batches that go to Python workers: rows may be long texts, so both bounds hold.
 BATCH_ROWS = 512
@@ -19,13 +21,54 @@ BATCH_BYTES = 8 << 20
 CHUNK_BITS = 13
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
+# Folders of the tables staged in each open scope, the innermost last. A driver runs one operator at a time.
+_scopes: list[list[str]] = [[]]
+
+
+def stage(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends here and lost executors cost nothing.
+
+    kept: the table outlives the innermost scope and belongs to the one around it.
+    """
     path = fresh_path(df.sparkSession, name)
+    _scopes[-2 if kept and len(_scopes) > 1 else -1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(paths: list[str]) -> Iterator[None]:
+    """Note the folders of the tables staged meanwhile in `paths`."""
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+
+
+@contextmanager
+def inner_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged in the block when it ends, but for those kept: nothing may read them any more."""
+    paths: list[str] = []
+    try:
+        with scope(paths):
+            yield
+    finally:
+        drop(spark, paths)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables and empty the list."""
+    files = SharedFiles(spark)
+    while paths:
+        files.delete(paths.pop())
+
+
+def carried(docs: DataFrame, **needed: Column) -> DataFrame:
+    """docs with each row as the one struct `row` beside the needed columns, so no name of docs can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in needed.items()])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of the queries planned from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

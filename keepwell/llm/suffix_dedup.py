@@ -12,7 +12,7 @@ another document. Words are compared as they are, white space between them is no
 
 Defined cases: null, empty and shorter texts have no windows; rows equal in id and text are one
 document; null ids come first in the order; texts of any length are read whole; an empty table gives an
-empty result. Windows are compared by 64-bit hashes.
+empty result; other columns are carried along whatever their names. Windows are compared by 64-bit hashes.
 A window that repeats inside its own text is settled there and sent on once, so texts of one phrase over
 and over make no crowd.
 """
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.staging import is_taken, small_batches, stage, taken_slots
+from keepwell.llm.staging import carried, is_taken, small_batches, stage, taken_slots
 from keepwell.llm.words import gram_hashes, mix, power_tables, text_buffer, words_of
 
 PASSAGE = 50
@@ -276,15 +276,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.collect_set(F.struct("start", "stop")).alias("_spans")  # at most one for each word of the text
     )
     cuts = stage(cuts, "cuts")
-    columns = docs.columns
-    own = (docs["doc_id"].cast("long").eqNullSafe(cuts["doc"])) & (_digest(docs["text"]) == cuts["k"])
-    joined = docs.join(cuts, own, "left").drop("doc", "k")
-    untouched = joined.filter("_spans is null").drop("_spans")
+    rows = carried(docs, ident=F.col("doc_id").cast("long"), digest=_digest(F.col("text")))
+    joined = rows.join(cuts, F.col("ident").eqNullSafe(F.col("doc")) & (F.col("digest") == F.col("k")), "left")
 
     @F.pandas_udf("string")
     def cut(texts, all_spans):
         return texts.combine(all_spans, lambda t, s: _cut(t, [(x["start"], x["stop"]) for x in s]))
 
-    touched = joined.filter("_spans is not null").withColumn("text", cut("text", "_spans")).drop("_spans")
-    kept = touched.filter(F.col("text").rlike("[^ \\t-\\r]"))
-    return untouched.select(*columns).unionByName(kept.select(*columns))
+    touched = joined.filter("_spans is not null").withColumn("text", cut("row.text", "_spans"))
+    left = touched.filter(F.col("text").rlike("[^ \\t-\\r]")).select(F.col("row").withField("text", F.col("text")).alias("row"))
+    return joined.filter("_spans is null").select("row").unionByName(left).select("row.*")
