@@ -2,8 +2,9 @@
 
 All shingles have one global order: rarer first, as a table of counts over hash slots says, then by
 hash. Two sets that link share a shingle of their prefixes in that order, which proposes pairs. The
-order is cut into FRAGMENTS of equal mass; a pair's overlap is counted in each fragment separately and
-summed. The rarest fragment comes first: pairs whose sum cannot reach the threshold any more end there.
+A parity sketch of each set then bounds the difference of a pair from below, which ends most of the pairs
+that do not link. The order is cut into FRAGMENTS of equal mass; a pair's overlap is counted in each fragment
+separately and summed. The rarest fragment comes first: pairs whose sum cannot reach the threshold any more end there.
 
 Documents with one set of shingles are one class, and classes are the nodes. Only connectedness is
 returned, so a crowded list of documents sharing a shingle is settled in two steps: all of it is compared
@@ -12,7 +13,7 @@ with its most central member; then only members of different components are comp
 Defined cases: documents without words have no shingles and no links, their component is themselves;
 with one to four words the whole sequence is the one shingle; null texts count as empty; null ids take
 part but never name a component that has an id; repeated rows are copies; an empty table gives an
-empty result. Shingles are compared by 64-bit hashes, classes by 128 bits.
+empty result; very long texts are handled whole; other columns are carried along whatever their names. Shingles are compared by 64-bit hashes, classes by 128 bits.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.components import components
-from keepwell.llm.staging import CHUNKS, chunk_rows, gather, is_taken, small_batches, stage, taken_slots
+from keepwell.llm.staging import CHUNKS, carried, chunk_rows, gather, inner_tables, is_taken, small_batches, stage, taken_slots
 from keepwell.llm.words import FACTORS, gram_hashes, mix, text_buffer, words_of
 
 SHINGLE = 5
@@ -72,7 +73,35 @@ def prefix_length(n: int) -> int:
 
 def least_overlap(a, b):
     """Smallest intersection with which sets of these sizes link."""
-    return -(-LEAST * (a + b) // (PER + LEAST))
+    return least_overlap_of(a + b)
+
+
+def least_overlap_of(sizes):
+    """The same by the sum of the two sizes."""
+    return -(-LEAST * sizes // (PER + LEAST))
+
+
+# The sketch of the largest set has so many bits (as a power of two); those of smaller sets are folded to fit.
+LEAST_SKETCH, MOST_SKETCH = 6, 16
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """One bit for each slot of the hashes: whether an odd number of them fall there.
+
+    Two sets' sketches differ in at most as many bits as the sets differ in shingles. Twice as many slots as
+    shingles or more, as far as MOST_SKETCH goes.
+    """
+    bits = min(max(int(len(shingles)).bit_length(), LEAST_SKETCH), MOST_SKETCH)
+    slots = (shingles & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=1 << bits) & 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A bound from below for the number of shingles in which the sets of two sketches differ."""
+    x, y = (np.frombuffer(s, np.uint8) for s in ((a, b) if len(a) >= len(b) else (b, a)))
+    if len(x) > len(y):  # the low bits of a slot are its slot in a smaller sketch
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _ordered(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -111,12 +140,12 @@ def _classes(docs: DataFrame, ident: str, text: str) -> tuple[DataFrame, np.ndar
 
 
 def _prefixes(docs: DataFrame, text: str, sent) -> DataFrame:
-    """(cls, n, prefix): fragment 0 of every class, once for each task that meets the class."""
+    """(cls, n, prefix, sketch) of every class, once for each task that meets the class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = sent.value, set()
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
+            out: tuple[list, list, list, list] = ([], [], [], [])
             for shingles in shingle_sets(batch.column(0)):
                 cls = class_of(shingles)
                 if cls is None or cls in met:
@@ -125,14 +154,14 @@ def _prefixes(docs: DataFrame, text: str, sent) -> DataFrame:
                     met.clear()
                 met.add(cls)
                 prefix = _ordered(shingles, counts)[: prefix_length(len(shingles))]
-                for to, value in zip(out, (cls, len(shingles), prefix.view(np.int64)), strict=True):
+                for to, value in zip(out, (cls, len(shingles), prefix.view(np.int64), sketch(shingles)), strict=True):
                     to.append(value)
+            kinds = pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64()))],
-                names=["cls", "n", "prefix"],
+                [pa.array(values, kind) for values, kind in zip(out, kinds, strict=True)], names=["cls", "n", "prefix", "sketch"]
             )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "cls binary, n int, prefix array<long>")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "cls binary, n int, prefix array<long>, sketch binary")
 
 
 def _can_link(n_a, p_a, n_b, p_b):
@@ -183,6 +212,25 @@ def _first_pairs(postings: DataFrame) -> DataFrame:
     return postings.mapInArrow(run, PAIRS)
 
 
+def _near_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs that can link by their sketches: linked sets differ in no more than their smallest overlap leaves."""
+    sketches = prefixes.select("cls", "sketch").dropDuplicates(["cls"])
+    side = lambda s: sketches.select(F.col("cls").alias(s), F.col("sketch").alias(f"sketch_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            most = sizes - 2 * least_overlap_of(sizes)
+            found = [
+                least_difference(x.as_py(), y.as_py()) <= m
+                for x, y, m in zip(batch.column(4), batch.column(5), most.tolist(), strict=True)
+            ]
+            yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(found, pa.bool_()))
+
+    return both.mapInArrow(run, PAIRS)
+
+
 def _fits(n: int, p: int, m: int, q: int) -> bool:
     return min(n - p, m - q) >= -(-LEAST * (n + m) // (PER + LEAST))
 
@@ -291,7 +339,13 @@ def _partial_overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, text: str, cut) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs (a, b) that link, staged."""
+    spark = pairs.sparkSession
+    with inner_tables(spark):
+        return stage(_verified(pairs, docs, text, cut), "links", kept=True)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, cut) -> DataFrame:
     spark = pairs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
     high = F.conv(F.hex(F.substring("cls", 1, 8)), 16, -10).cast("long").alias("slot")  # as _slot reads it
@@ -308,33 +362,57 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, cut) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(ident, n_shingles, component_id) for every row."""
+    """(doc_id, n_shingles, component_id) for every row, staged."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows, counts = _classes(docs, ident, text)
-    sent = spark.sparkContext.broadcast(counts)
-    cut = spark.sparkContext.broadcast(_fragment_of_slot(counts))
-    prefixes = stage(_prefixes(docs, text, sent), "prefixes")
-    postings = prefixes.select("cls", "n", F.posexplode("prefix").alias("p", "h")).select("h", "cls", "n", "p")
-    sorted_lists = postings.repartition("h").sortWithinPartitions("h", "p", "n", "cls")
-    pairs = stage(_first_pairs(sorted_lists).distinct(), "pairs")
-    links = stage(_linked(pairs, docs, text, cut), "links")
-    roots = stage(components(links, "a", "b"), "roots")
-    more = stage(_later_pairs(postings, roots).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = stage(links.unionByName(_linked(more, docs, text, cut)), "links")
-        roots = stage(components(links, "a", "b"), "roots")
-    return _with_components(rows, roots)
+    with inner_tables(spark):
+        rows, counts = _classes(docs, ident, text)
+        sent = spark.sparkContext.broadcast(counts)
+        cut = spark.sparkContext.broadcast(_fragment_of_slot(counts))
+        roots = _roots(docs, text, sent, cut)
+        return stage(_with_components(rows, roots), "components", kept=True)
+
+
+def _roots(docs: DataFrame, text: str, sent, cut) -> DataFrame:
+    """(node, root) of the linked classes, staged."""
+    with inner_tables(docs.sparkSession):
+        prefixes = stage(_prefixes(docs, text, sent), "prefixes")
+        postings = prefixes.select("cls", "n", F.posexplode("prefix").alias("p", "h")).select("h", "cls", "n", "p")
+        sorted_lists = postings.repartition("h").sortWithinPartitions("h", "p", "n", "cls")
+        pairs = stage(_first_pairs(sorted_lists).distinct(), "pairs")
+        links = _linked(stage(_near_enough(pairs, prefixes), "near"), docs, text, cut)
+        roots = components(links, "a", "b")
+        more = stage(_later_pairs(postings, roots).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            later = _linked(stage(_near_enough(more, prefixes), "near"), docs, text, cut)
+            roots = components(links.unionByName(later), "a", "b")
+        return stage(roots, "roots", kept=True)
+
+
+# A class of more than one in so many rows is hot: there are fewer such classes than this.
+HOT_SHARE = 1000
 
 
 def _with_components(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    named = rows.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
-    least = named.filter("root is not null").groupBy("root").agg(F.min("ident").alias("least"))
-    out = named.drop("node").join(least.withColumnRenamed("root", "r"), F.col("root") == F.col("r"), "left")
-    return out.select(
-        F.col("ident").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.coalesce("least", "ident").alias("component_id"),
-    )
+    """The component of every row: the least id among the classes of its root.
+
+    Ids are combined to one for each class and each root before anything is joined. Rows then look up
+    their class; the few hot classes, fewer than HOT_SHARE whatever the input, are broadcast to their rows.
+    """
+    classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("ident").alias("least"), F.count(F.lit(1)).alias("m"))
+    named = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+    least = named.groupBy("root").agg(F.min("least").alias("component"))
+    found = stage(named.select("cls", "m", "root").join(least, "root").select("cls", "m", "component"), "named")
+    total = rows.count()
+    hot = F.broadcast(found.filter(F.col("m") * HOT_SHARE > total).select("cls", "component", F.lit(True).alias("hot")))
+    looked_up = rows.join(hot, "cls", "left")
+    done = looked_up.filter("hot or cls is null").select("ident", "n", "component")
+    others = looked_up.filter("hot is null and cls is not null").select("ident", "n", "cls").join(
+        found.filter(F.col("m") * HOT_SHARE <= total).select("cls", "component"), "cls"
+    )
+    return done.unionByName(others.select("ident", "n", "component")).select(
+        F.col("ident").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "ident").alias("component_id")
+    )
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
@@ -343,12 +421,11 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     Rows that share an id (or have none) are told apart by their texts, and of equal rows one stays.
     Only ids travel to the comparison with the texts' table; a component of one row needs none.
     """
-    found = stage(near_duplicates(docs), "components")
+    found = near_duplicates(docs)
     same = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    kept = found.filter(same | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = stage(kept.withColumnRenamed("doc_id", "_kept"), "kept")
-    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = joined.filter("_rows = 1").select(*columns)
-    repeated = joined.filter("_rows > 1").select(*columns)
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    kept = found.filter(same | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
+    kept = stage(kept.withColumnRenamed("doc_id", "id"), "kept")
+    joined = carried(docs, ident=F.col("doc_id").cast("long")).join(kept, F.col("ident").eqNullSafe(F.col("id")))
+    single = joined.filter("m = 1").select("row")
+    repeated = joined.filter("m > 1").withColumn("text", F.col("row.text")).dropDuplicates(["ident", "text"])
+    return single.unionByName(repeated.select("row")).select("row.*")
