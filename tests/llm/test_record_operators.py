@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 from llm_corpus import WORD, corpus, sentence
 
 from keepwell.llm import chat, mixing, sharding, topk, toxicity
@@ -30,6 +31,56 @@ def test_top_k_is_exact(spark):
     assert topk.search_report(df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_query_ids(spark):
+    """31 query rows of one id, dealt into batches of 4, each get their own result."""
+    draw = random.Random(4)
+    rows = [(i, [draw.gauss(0, 1) for _ in range(6)]) for i in range(1, 60) if i % 20] + [
+        (20, [draw.gauss(0, 1) for _ in range(6)]) for _ in range(31)
+    ]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).cache()
+    got = topk.top_k(vectors, vectors.filter("id % 20 = 0"), k=20, block=16, batch=4)
+    assert got.count() == 31 * 20 and got.filter("vec_id = 20").count() == 0
+    assert {r["count"] for r in got.groupBy("rank").count().collect()} == {31}
+
+
+def test_top_k_of_odd_vectors(spark):
+    """Vectors without components, of different lengths, all alike, or all zero."""
+    rows = [(i, []) for i in range(5)] + [(100 + i, [1.0] * (i % 4)) for i in range(40)] + [(200 + i, [0.0, 0.0]) for i in range(30)]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).cache()
+    plain = {r.id: list(r.v) for r in vectors.collect()}
+    got = defaultdict(list)
+    for r in topk.top_k(vectors, vectors.filter("id % 20 = 0"), k=7, block=8, batch=3).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(got) == {i for i in plain if i % 20 == 0}
+    for q, found in got.items():
+        scored = sorted((-sum(a * b for a, b in zip(plain[q], v)), i) for i, v in plain.items() if i != q)[:7]
+        assert sorted(found) == [(n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+
+
+def test_the_bound_ends_a_search_early():
+    """Where few components carry the score, a small part of the rows is scored; the result is the whole search's."""
+    draw = np.random.default_rng(7)
+    width = 0.5 ** np.arange(12)
+    share = {}
+    for name, scale in (("few", width), ("alike", np.ones(12))):
+        rows = np.floor(64 * draw.normal(size=(6000, 12)) * scale).astype(np.int32)
+        ids = np.arange(6000)
+        lists = [
+            topk.SortedLists(ids[a : a + 2000], rows[a : a + 2000], np.argsort(rows[a : a + 2000], axis=0, kind="stable"))
+            for a in range(0, 6000, 2000)
+        ]
+        queries, own = rows[:100].astype(np.float64), ids[:100]
+        state = [(np.zeros(0), np.zeros(0, np.int64))] * 100
+        for block in lists:
+            block.search(queries, own, 10, state)
+        for q in range(100):
+            scores = (rows @ rows[q].astype(np.int64)).astype(np.int64)
+            best = [i for i in np.lexsort((ids, -scores)) if i != q][:10]
+            assert state[q][1].tolist() == best and state[q][0].tolist() == scores[best].tolist()
+        share[name] = sum(block.scored for block in lists) / (100 * 6000)
+    assert share["few"] < 0.35 < share["alike"] <= 1
+
+
 def test_toxicity_learns_from_the_training_part_only(spark):
     draw = random.Random(5)
     rows, labels = [], []
