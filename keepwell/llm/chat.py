@@ -11,7 +11,8 @@ restores the text exactly.
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role, text), nulls first;
 repeated rows are turns of their own; the rows without a conv_id are one conversation; an empty
-table gives an empty result. A conversation is one output row, so it must fit into one.
+table gives an empty result; texts of any length are written whole; other columns are not looked at. A
+conversation is one output row, so it must fit into one.
 """
 
 from __future__ import annotations
@@ -35,6 +36,38 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def merge_turns(turns: Column) -> Column:
+    """Sorted turns as array<struct<role, texts>>: adjacent turns of one role are one block, their texts an array."""
+    places = F.sequence(F.lit(0), F.size(turns))
+    changes = lambda i: (i == 0) | (F.get(turns, i - 1)["role"] != F.get(turns, i)["role"])
+    starts = F.filter(places, lambda i: (i < F.size(turns)) & changes(i))
+
+    def block(start: Column, end: Column) -> Column:
+        texts = F.transform(F.slice(turns, start + 1, end - start), lambda t: t["text"])
+        return F.struct(F.get(turns, start)["role"].alias("role"), texts.alias("texts"))
+
+    def blocks(at: Column) -> Column:
+        return F.transform(at, lambda start, i: block(start, F.coalesce(F.get(at, i + 1), F.size(turns))))
+
+    return _let(starts, blocks)
+
+
+def _pieces(blocks: Column) -> Column:
+    """What is written before each text, the escaped text, and whether the loss counts there."""
+
+    def of(block: Column, number: Column) -> Column:
+        before = F.when(number == 0, F.lit(BEGIN)).otherwise(F.lit(END))
+        opening = F.concat(before, F.lit(HEAD), escape(block["role"]), F.lit(HEAD_END))
+
+        def piece(text: Column, i: Column) -> Column:
+            head = F.when(i == 0, opening).otherwise(F.lit(NEXT))
+            return F.struct(head.alias("head"), escape(text).alias("body"), (block["role"] == TRAINED_ROLE).alias("loss"))
+
+        return F.transform(block["texts"], piece)
+
+    return F.flatten(F.transform(blocks, of))
+
+
 def format_conversations(
     rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
@@ -53,18 +86,7 @@ def format_conversations(
     )
     turns = prepared.groupBy(conv).agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
-    def pieces(sorted_turns: Column) -> Column:
-        def piece(t: Column, i: Column) -> Column:
-            opens = (i == 0) | (F.get(sorted_turns, i - 1)["role"] != t["role"])
-            head = F.when(
-                opens,
-                F.concat(F.when(i == 0, F.lit(BEGIN)).otherwise(F.lit(END)), F.lit(HEAD), escape(t["role"]), F.lit(HEAD_END)),
-            ).otherwise(F.lit(NEXT))
-            return F.struct(head.alias("head"), escape(t["text"]).alias("body"), (t["role"] == TRAINED_ROLE).alias("loss"))
-
-        return F.transform(sorted_turns, piece)
-
-    made = turns.select(F.col(conv), _let(F.col("turns"), pieces).alias("pieces"))
+    made = turns.select(F.col(conv), _let(_let(F.col("turns"), merge_turns), _pieces).alias("pieces"))
     text_parts = F.flatten(F.transform("pieces", lambda p: F.array(p["head"], p["body"])))
 
     def run(length: Column, loss: Column) -> Column:
@@ -98,6 +120,20 @@ def parse_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+def masked_texts(formatted: Column, loss_runs: Column) -> Column:
+    """The stretches of a formatted conversation where the loss counts, unescaped, in order."""
+
+    def step(seen: Column, run: Column) -> Column:
+        here = F.array(unescape(F.substring(formatted, seen["at"], run["n_chars"])))
+        return F.struct(
+            (seen["at"] + run["n_chars"]).alias("at"),
+            F.when(run["loss"], F.concat(seen["texts"], here)).otherwise(seen["texts"]).alias("texts"),
+        )
+
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
+    return F.aggregate(loss_runs, start, step, lambda seen: seen["texts"])
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -111,9 +147,12 @@ def formatting_report(conversations: DataFrame) -> DataFrame:
         F.lit(CONTROL_TEXT).alias("text"),
     )
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(probe)
-    read = format_conversations(rows).select("conv_id", "formatted", parse_turns(F.col("formatted")).alias("turns"))
+    read = format_conversations(rows).select(
+        "conv_id", "formatted", parse_turns(F.col("formatted")).alias("turns"),
+        masked_texts(F.col("formatted"), F.col("loss_runs")).alias("masked"),
+    )
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == TRAINED_ROLE), lambda t: t["text"]), "")
+    loss = F.array_join("masked", "")  # nothing but what the mask covers
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 from llm_corpus import WORD, corpus, sentence
+from pyspark.sql import functions as F
 
 from keepwell.llm import chat, mixing, sharding, topk, toxicity
 
@@ -124,6 +125,26 @@ def test_chat_reads_back(spark):
         at += run.n_chars
     assert at == len(made[1].formatted) and masked == "[\\INST] <\\\\|\\x|\\> <\\/s>"
     assert chat.formatting_report(df.limit(0)).count() == 1
+    # the digest of the loss is that of what the mask covers: without a mask nothing is left
+    plan = chat.formatting_report(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "loss_runs" in plan
+    unmasked = F.transform("loss_runs", lambda r: F.struct(r["n_chars"].alias("n_chars"), F.lit(False).alias("loss")))
+    texts = chat.format_conversations(df).select(chat.masked_texts(F.col("formatted"), unmasked).alias("t"))
+    assert {tuple(r.t) for r in texts.collect()} == {()}
+
+
+def test_adjacent_turns_are_merged_into_blocks(spark):
+    turns = [("u", "1"), ("u", None), ("a", "2"), ("u", "3"), ("u", "4"), ("u", "5")]
+    df = spark.createDataFrame([(turns,), ([],)], "t array<struct<role:string,text:string>>")
+    merged = [[(b.role, b.texts) for b in r[0]] for r in df.select(chat.merge_turns(F.col("t"))).collect()]
+    assert merged == [[("u", ["1", None]), ("a", ["2"]), ("u", ["3", "4", "5"])], []]
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, i, "assistant" if i % 4 > 1 else "user", f"<|{i}|> [x] é") for i in range(4000)]
+    r = chat.formatting_report(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).filter("conv_id = 1").first()
+    loss = "".join(t for _, _, role, t in rows if role == "assistant")
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (4000, len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
 def plain_targets(sizes):
