@@ -11,13 +11,14 @@ matches; counts of pieces add up. A table of the counts of all prefixes then ans
 the first n characters have, and where a text must end to keep a budget, without encoding again.
 
 Defined cases: a null text is empty and has 0 tokens; the special string counts as one token wherever
-it stands, as the library does by default; texts are counted whole; repeated rows give equal rows; an
-empty table gives an empty result.
+it stands, as the library does by default; texts are counted whole, whatever their length; repeated rows give
+equal rows; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import sys
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ from keepwell.llm.staging import small_batches
 
 # Pieces, and pairs of neighbours, that a Python worker remembers; beyond that it starts anew.
 REMEMBERED = 800_000
+# Pieces before a place that are looked at again when a prefix ends there.
+SETTLED = 3
 
 
 def byte_letters() -> dict[str, int]:
@@ -105,13 +108,38 @@ class PrefixCounter(dict):
         n = self[piece] = self.counts(piece.encode())[-1]
         return n
 
-    def total(self, text: str) -> int:
-        """Tokens of the whole text."""
-        n = 0
-        for i, part in enumerate(self.split_specials.split(text)):
-            n += i > 0  # the special token between two parts
-            n += sum(map(self.__getitem__, self.pieces_of(part)))
-        return n
+    def table(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The prefix table at the borders of pieces: code points and tokens up to each, from 0 and 0 on."""
+        lengths, counts = [0], [0]
+        at = 0
+        for found in [*self.split_specials.finditer(text), None]:
+            pieces = self.pieces_of(text[at : found.start()] if found else text[at:])
+            lengths += map(len, pieces)
+            counts += map(self.__getitem__, pieces)
+            if found:
+                lengths.append(found.end() - found.start())
+                counts.append(1)
+                at = found.end()
+        return np.cumsum(lengths), np.cumsum(counts)
+
+    def longest(self, text: str, table: tuple[np.ndarray, np.ndarray], budget: int) -> int:
+        """Code points of the longest prefix of text with at most `budget` tokens.
+
+        Every piece has a token at least, so the answer lies in or right behind the last piece that begins within
+        the budget. Only there the counts inside pieces are worked out.
+        """
+        ends, counts = table
+        if counts[-1] <= budget:
+            return len(text)
+        if self.split_specials.search(text):
+            return fits(self.prefix_counts(text), budget)
+        k = int(np.searchsorted(counts, budget, side="left"))
+        # an end of a prefix can change the pieces of white space just before it
+        first = max(0, k - SETTLED)
+        last = min(len(ends) - 1, k + 1)
+        inside = np.full(int(ends[last]) + 1, np.iinfo(np.uint32).max, dtype=np.uint32)
+        self._fill(text, int(ends[first]), int(ends[last]), int(counts[first]), inside)
+        return fits(inside, budget)
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:i] for i = 0 .. len(text)."""
@@ -160,11 +188,14 @@ class PrefixCounter(dict):
 
 
 def _counter(path: str, pattern: str) -> PrefixCounter:
-    """The worker's counter: kept from task to task, so a piece is worked out once for each worker."""
+    """The worker's counter: kept from task to task while the file stays the same, so a piece is worked out once."""
     kept = vars(sys).setdefault("_token_counters", {})
-    if (path, pattern) not in kept:
-        kept[path, pattern] = PrefixCounter(path, pattern)
-    return kept[path, pattern]
+    state = os.stat(path)
+    key = (path, state.st_mtime_ns, state.st_size, pattern)
+    if key not in kept:
+        kept.clear()
+        kept[key] = PrefixCounter(path, pattern)
+    return kept[key]
 
 
 def fits(counts: np.ndarray, budget: int) -> int:
@@ -172,22 +203,34 @@ def fits(counts: np.ndarray, budget: int) -> int:
     return int(np.flatnonzero(counts <= budget)[-1])
 
 
-def count_tokens(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """(ident, n_bytes, n_tokens) of every whole text."""
+def count_tokens(
+    docs: DataFrame, path: str, pattern: str, budget: int, ident: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(ident, n_bytes, n_chars, n_tokens, fit_chars) of every whole text, from its prefix table.
+
+    n_tokens: the table's last count; fit_chars: code points of the longest prefix with at most `budget` tokens.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path, pattern)
         for batch in batches:
-            totals = [counter.total(t.as_py() or "") for t in batch.column(2)]
+            sizes, totals, fitting = [], [], []
+            for value in batch.column(2):
+                text = value.as_py() or ""
+                table = counter.table(text)
+                sizes.append(len(text))
+                totals.append(int(table[1][-1]))
+                fitting.append(counter.longest(text, table, budget))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["ident", "n_bytes", "n_tokens"]
+                [batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in (sizes, totals, fitting))],
+                names=["ident", "n_bytes", "n_chars", "n_tokens", "fit_chars"],
             )
 
     kind = docs.schema[ident].dataType.simpleString()
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
     return docs.select(F.col(ident).alias("ident"), size.alias("n_bytes"), F.col(text).alias("text")).mapInArrow(
-        run, f"ident {kind}, n_bytes long, n_tokens long"
+        run, f"ident {kind}, n_bytes long, n_chars long, n_tokens long, fit_chars long"
     ).withColumnRenamed("ident", ident)
 
 
@@ -211,7 +254,7 @@ LIMIT = 1024
 
 
 def count_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Per document: bytes, tokens, and whether it has more than LIMIT tokens."""
-    return count_tokens(docs, path, pattern).select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit")
+    """Per document: bytes, tokens, whether a prefix of LIMIT tokens leaves something over, and that prefix's code points."""
+    return count_tokens(docs, path, pattern, LIMIT).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("fit_chars") < F.col("n_chars")).alias("over_limit"), "fit_chars"
     )

@@ -1,6 +1,7 @@
 """Quality rules, shingle join, suffix dedup, tokens: compared with plain computations."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -162,7 +163,16 @@ def test_token_counts_equal_the_library(docs, empty):
     for row in corpus():
         n = len(tokenizer.encode(row[1] or "", add_special_tokens=False).ids)
         expected[row[0], len((row[1] or "").encode()), n, n > 1024] += 1
-    assert Counter(map(tuple, token_counts.count_report(docs, VOCABULARY, PATTERN).collect())) == expected
+    report = token_counts.count_report(docs, VOCABULARY, PATTERN).collect()
+    assert Counter(tuple(r)[:4] for r in report) == expected
+    texts = {r[0]: r[1] or "" for r in corpus()}
+    count = lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+    for r in report:
+        text = texts[r.doc_id]
+        assert r.over_limit == (r.fit_chars < len(text)) and count(text[: r.fit_chars]) <= 1024
+        beyond = range(r.fit_chars + 1, min(len(text), r.fit_chars + 30) + 1)
+        assert all(count(text[:i]) > 1024 for i in beyond)
+    assert any(r.over_limit for r in report)
     assert token_counts.count_report(empty, VOCABULARY, PATTERN).count() == 0
 
 
@@ -176,6 +186,19 @@ def test_every_prefix_is_counted():
         assert token_counts.fits(counts, 3) == max(i for i, n in enumerate(expected) if n <= 3)
 
 
+def test_the_longest_prefix_within_any_budget():
+    """Found from the table of piece borders, equal to the answer of the table of all prefixes."""
+    counter = token_counts.PrefixCounter(VOCABULARY, PATTERN)
+    draw = random.Random(6)
+    bits = ["a", "the", "  ", "\n\n ", "don't", "12345", "é", "漢字", "😀", " ,.!", "internationalisation", "\t", "<|endoftext|>", "'ll"]
+    for i in range(120):
+        text = "".join(draw.choice(bits if i % 3 else bits[:-2]) for _ in range(draw.randint(0, 25)))
+        table, counts = counter.table(text), counter.prefix_counts(text)
+        assert (table[0][-1], table[1][-1]) == (len(text), counts[-1])
+        for budget in range(int(counts[-1]) + 2):
+            assert counter.longest(text, table, budget) == token_counts.fits(counts, budget), (text, budget)
+
+
 def test_prefix_table(docs):
     table = {r.doc_id: r.counts for r in token_counts.prefix_table(docs, VOCABULARY, PATTERN).collect()}
     assert len(table[6]) == 4 * (len("one two") + 1) and table[3] == b"\0\0\0\0"
