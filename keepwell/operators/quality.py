@@ -72,11 +72,14 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return flag_violations(df, rules).filter(F.size("violations") > 0)
 
 
+def violation_figures(rules: Sequence[Rule]) -> dict[str, Column]:
+    """Metric expressions by name: the rows, and the violations of each rule."""
+    return {"rows": F.count(F.lit(1)), **{rule.name: F.count_if(~rule.holds) for rule in rules}}
+
+
 def violation_counts(rules: Sequence[Rule]) -> list[Column]:
-    """Metric expressions, usable in agg() and in observe(), batch or stream."""
-    return [F.count(F.lit(1)).alias("rows")] + [
-        F.count_if(~rule.holds).alias(rule.name) for rule in rules
-    ]
+    """The same, usable in agg() and in observe(), batch or stream."""
+    return [metric.alias(name) for name, metric in violation_figures(rules).items()]
 
 
 def observed(df: DataFrame, rules: Sequence[Rule], name: str) -> tuple[DataFrame, Observation]:

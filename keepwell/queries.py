@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from keepwell.sources.retail_inputs import AS_OF, RetailInputs
 from keepwell.sources.served import ServedCopy
 from keepwell.sources.tables import manifest, publish
 from keepwell.streaming import ingest
-from keepwell.streaming.refresh import profile_from_silver, stream_to_silver
+from keepwell.streaming.refresh import Streamed, profile_from_silver, stream_to_silver
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -588,7 +589,7 @@ def serve_nba_sample(env: Env) -> DataFrame:
 
 
 # --- streaming --------------------------------------------------------------------------------------
-def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[str, str]:
+def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[str, Streamed]:
     """Land each frame as JSON and stream it to silver; with restart, half of the rows arrive later."""
     base = fresh_path(env.spark, "stream")
     landing = {dataset: f"{base}/landing/{dataset}" for dataset in datasets}
@@ -603,7 +604,7 @@ def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[s
 @query
 def ingest_stream_products(env: Env) -> DataFrame:
     folders = _streamed(env, {"products": env.inputs.products()}, restart=True)
-    return env.spark.read.parquet(folders["products"])
+    return folders["products"].silver.read()
 
 
 @query
@@ -611,14 +612,27 @@ def ingest_stream_transactions(env: Env) -> DataFrame:
     """Both channels streamed to silver, then conformed by the batch step over the streamed tables."""
     folders = _streamed(env, {"orders": env.inputs.orders(), "pos": env.inputs.pos()}, restart=False)
     return silver.transactions_unified(
-        env.spark.read.parquet(folders["orders"]), env.spark.read.parquet(folders["pos"])
+        folders["orders"].silver.read(), folders["pos"].silver.read()
     )
 
 
 @query
 def stream_silver_orders(env: Env) -> DataFrame:
     folders = _streamed(env, {"orders": env.inputs.dirty_orders()}, restart=True)
-    return env.spark.read.parquet(folders["orders"])
+    return folders["orders"].silver.read()
+
+
+@query
+def stream_unique_orders(env: Env) -> DataFrame:
+    """Orders that land twice, in two runs; the stream's state lets each reach silver once."""
+    base = fresh_path(env.spark, "stream-unique")
+    orders, half = env.inputs.orders(), F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    unique = ingest.Unique("order_id", "order_date", "4000 days")  # longer than the history: no row is late
+    for arrived in (orders.filter(half), orders):
+        ingest.write_landing(arrived, f"{base}/landing")
+        ingest.ingest(env.spark, f"{base}/landing", f"{base}/bronze", f"{base}/c1", ingest.LANDING["orders"])
+        kept = ingest.refine(env.spark, "orders", f"{base}/bronze", f"{base}/silver", f"{base}/c2", unique=unique)
+    return kept.read()
 
 
 @query
@@ -632,14 +646,13 @@ def streamed_gold_360_p(env: Env) -> DataFrame:
         "pos": env.inputs.pos(),
     }
     return customer360.customer_360_p(
-        profile_from_silver(env.spark, _streamed(env, sources, restart=False), env.as_of)
+        profile_from_silver(_streamed(env, sources, restart=False), env.as_of)
     )
 
 
 @query
 def stream_quality_report(env: Env) -> DataFrame:
     """Violations of every rule of the five datasets, counted while their rows stream to silver."""
-    base = fresh_path(env.spark, "stream-quality")
     sources = {
         "products": env.inputs.products(),
         "customers": env.inputs.customers(),
@@ -647,15 +660,29 @@ def stream_quality_report(env: Env) -> DataFrame:
         "orders": env.inputs.dirty_orders(),
         "pos": env.inputs.pos(),
     }
-    report = None
-    for dataset, frame in sources.items():
-        folder = f"{base}/{dataset}"
-        frame.write.parquet(f"{folder}/bronze")
-        run = ingest.refine(env.spark, dataset, f"{folder}/bronze", f"{folder}/silver", f"{folder}/checkpoint")
-        totals = ingest.observed_violations(run, dataset)
-        found = ingest.violation_rows(env.spark, dataset, totals, silver.SILVER_P[dataset][1])
-        report = found if report is None else report.unionByName(found)
-    return report
+    reports = [
+        ingest.violation_rows(env.spark, dataset, tables.silver.totals(), silver.SILVER_P[dataset][1])
+        for dataset, tables in _streamed(env, sources, restart=True).items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query
+def stream_landing_report(env: Env) -> DataFrame:
+    """Rows that landed and rows rescued, of orders whose customer ids are text and some of whose amounts are."""
+    base = fresh_path(env.spark, "stream-odd")
+    orders = env.inputs.orders()
+    number = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("long")
+    odd = orders.withColumn("customer_id", F.concat(F.lit("CUST"), F.lpad(F.col("customer_id").cast("string"), 6, "0")))
+    faulty = number % 29 == 0
+    ingest.write_landing(odd.filter(~faulty), f"{base}/landing/orders")
+    ingest.write_landing(odd.filter(faulty).withColumn("order_amount", F.lit("n/a")), f"{base}/landing/orders")
+    streamed = stream_to_silver(env.spark, {"orders": f"{base}/landing/orders"}, base)["orders"]
+    totals = streamed.bronze.totals()
+    text_ids = streamed.bronze.read().filter(F.col("customer_id").startswith("CUST"))
+    return text_ids.agg(
+        F.count(F.lit(1)).alias("rows_with_text_id"), F.lit(totals["rows"]).alias("rows"), F.lit(totals["rescued"]).alias("rescued")
+    )
 
 
 # --- generated rows: one per key of a supplied table -----------------------------------------------------

@@ -62,6 +62,18 @@ class SharedFiles:
             raise
         return True
 
+    def exists(self, path: str) -> bool:
+        system, at = self._open(path)
+        return system.exists(at)
+
+    def rename(self, path: str, new: str) -> None:
+        """Give a file or folder a name that is not in use, at once."""
+        system, at = self._open(path)
+        place = self._hadoop.Path(new)
+        system.mkdirs(place.getParent())
+        if system.exists(place) or not system.rename(at, place):
+            raise FileExistsError(new)
+
     def delete(self, path: str) -> None:
         system, at = self._open(path)
         system.delete(at, True)

@@ -1,26 +1,23 @@
 """Incremental ingestion: landing JSON -> bronze -> silver, each file once.
 
 Both hops are append-only file streams with their own checkpoint, run with
-availableNow: a run takes what has arrived since the last one and stops.
+availableNow: a run takes what has arrived since the last one and stops. Each
+micro-batch is stored once, together with the figures counted over it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryProgress
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from keepwell.operators.quality import Rule, drop_violators, violation_counts
+from keepwell.operators.quality import Rule, drop_violators, violation_figures
 from keepwell.plans.silver import SILVER_P
-
-
-# The engine keeps 100 reports by default; no run ends that many batches between two looks.
-POLL_SECONDS = 0.2
+from keepwell.streaming.schemas import SchemaLog, kinds_of
+from keepwell.streaming.sink import BatchSink
 
 
 def write_landing(df: DataFrame, folder: str, files: int | None = None) -> None:
@@ -69,44 +66,21 @@ def rescued_rows(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.count(F.lit(1)).alias("row_count"), F.count(RESCUED).alias("rescued_count"))
 
 
-@dataclass(frozen=True)
-class StreamRun:
-    """A finished run and the batches it added to its checkpoint."""
-
-    query: StreamingQuery
-    batches: range
-    progress: list[StreamingQueryProgress]
-
-
-def _next_batch(spark: SparkSession, checkpoint: str) -> int:
-    """One more than the last batch a checkpoint has committed."""
-    try:
-        committed = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path")
-    except AnalysisException:  # no run yet
-        return 0
-    last = committed.agg(F.max(F.substring_index("path", "/", -1).try_cast("long"))).first()[0]
-    return 0 if last is None else last + 1
+# The widest types that declared columns may take. Ids may turn out to be text; amounts and quantities may
+# turn out to be fractions, and text among them is a fault of the row.
+LIMITS = {"price": "double", "points_balance": "double", "quantity": "double", "order_amount": "double", "transaction_amount": "double"}
 
 
-def _run(df: DataFrame, target: str, checkpoint: str, name: str) -> StreamRun:
-    spark = df.sparkSession
-    first = _next_batch(spark, checkpoint)
+def _run(stream: DataFrame, checkpoint: str, name: str, take: Callable[[DataFrame, int], None]) -> None:
+    """Hand over what has arrived since the last run in micro-batches, then stop."""
     query = (
-        df.writeStream.queryName(name)
-        .format("parquet")
-        .outputMode("append")
+        stream.writeStream.queryName(name)
+        .foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
-    # the engine keeps the last reports only, so they are taken over while the query runs
-    reports: dict[int, StreamingQueryProgress] = {}
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(POLL_SECONDS)
-        reports |= {p.batchId: p for p in query.recentProgress}
-    batches = range(first, _next_batch(spark, checkpoint))
-    return StreamRun(query, batches, [reports[n] for n in sorted(reports) if n in batches])
+    query.awaitTermination()
 
 
 def ingest(
@@ -117,36 +91,68 @@ def ingest(
     schema: StructType | str,
     files_per_batch: int = 1000,
     name: str = "bronze",
-) -> StreamRun:
-    """Append every landing file not seen yet to the bronze folder."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
-    return _run(parsed(lines, schema), target, checkpoint, name)
+    limits: Mapping[str, str] | None = None,
+) -> BatchSink:
+    """Append every landing file not seen yet to the bronze table.
+
+    Before a batch is parsed, the types of its values are looked up, and the schema is widened where they
+    do not fit: an id that is text, a fractional amount, a new field. So only broken lines, and text where a
+    number or date is due, are rescued.
+    """
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    sink = BatchSink(spark, target)
+    schemas = SchemaLog(spark, f"{target}/_schemas", declared)
+
+    def take(lines: DataFrame, batch: int) -> None:
+        _, current = schemas.evolve(kinds_of(lines), LIMITS if limits is None else limits)
+        rows = parsed(lines, current)
+        sink.write(rows, f"b{batch:09d}", {"rows": F.count(F.lit(1)), "rescued": F.count(RESCUED)})
+
+    _run(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing), checkpoint, name, take)
+    return sink
+
+
+@dataclass(frozen=True)
+class Unique:
+    """One row per key: a repeated key within the delay of the latest time does not pass, later rows do not either."""
+
+    key: str
+    time: str
+    delay: str
 
 
 def refine(
-    spark: SparkSession, dataset: str, bronze: str, target: str, checkpoint: str, files_per_batch: int = 1000
-) -> StreamRun:
-    """Append new bronze rows to silver: project, count rule violations, drop violators."""
+    spark: SparkSession,
+    dataset: str,
+    bronze: str,
+    target: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    unique: Unique | None = None,
+) -> BatchSink:
+    """Append new bronze rows to silver: project, count rule violations, drop violators.
+
+    Bronze batches of one schema are one stream. With `unique`, keys are remembered in the stream's state as
+    long as the watermark, `delay` behind the latest time, has not passed them.
+    """
     project, rules = SILVER_P[dataset]
-    schema = spark.read.parquet(bronze).schema
-    rows = project(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(bronze))
-    counted = rows.observe(f"quality_{dataset}", *violation_counts(rules))
-    return _run(drop_violators(counted, rules), target, checkpoint, f"silver_{dataset}")
+    upstream, sink = BatchSink(spark, bronze), BatchSink(spark, target)
+    figures = violation_figures(rules)
+    for folder, schema in upstream.schemas().items():
+        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+        rows = project(reader.option("recursiveFileLookup", "true").parquet(f"{bronze}/data/{folder}"))
+        if unique:
+            timed = rows.withColumn("_time", F.col(unique.time).cast("timestamp")).withWatermark("_time", unique.delay)
+            rows = timed.dropDuplicatesWithinWatermark([unique.key]).drop("_time")
 
+        def take(batch_rows: DataFrame, batch: int, folder: str = folder) -> None:
+            sink.write(batch_rows, f"{folder}-b{batch:09d}", figures, lambda df: drop_violators(df, rules))
 
-def observed_violations(run: StreamRun, dataset: str) -> dict[str, int]:
-    """Rule metrics of a run, added up over its micro-batches, however many."""
-    if len(run.progress) < len(run.batches):
-        raise RuntimeError(f"reports of {len(run.batches) - len(run.progress)} batches are missing")
-    totals: dict[str, int] = {}
-    for progress in run.progress:
-        metrics = progress.observedMetrics.get(f"quality_{dataset}")
-        for name, value in (metrics.asDict() if metrics else {}).items():
-            totals[name] = totals.get(name, 0) + (value or 0)
-    return totals
+        _run(rows, f"{checkpoint}/{folder}", f"silver_{dataset}", take)
+    return sink
 
 
-def violation_rows(spark: SparkSession, dataset: str, totals: dict[str, int], rules: tuple[Rule, ...]) -> DataFrame:
+def violation_rows(spark: SparkSession, dataset: str, totals: Mapping[str, int], rules: tuple[Rule, ...]) -> DataFrame:
     rows = [(dataset, r.name, r.action, totals.get("rows", 0), totals.get(r.name, 0)) for r in rules]
     return spark.createDataFrame(
         rows, "dataset string, rule string, action string, rows_checked long, violations long"

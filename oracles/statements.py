@@ -352,6 +352,11 @@ _add(
 
 
 ORACLES["stream_quality_report"] = ORACLES["dq_expectation_report"]
+ORACLES["stream_unique_orders"] = f"{p.with_(p.BRONZE)} SELECT * FROM bronze_orders"
+ORACLES["stream_landing_report"] = f"""{p.with_(p.BRONZE)}
+SELECT count(customer_id) AS rows_with_text_id, count(*) AS rows,
+  count(*) FILTER (CAST(split_part(order_id, '-', 1) AS BIGINT) % 29 = 0) AS rescued
+FROM bronze_orders"""
 
 
 # --- generated rows ------------------------------------------------------------------------------------------
