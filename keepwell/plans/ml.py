@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from keepwell import fixed_values as fixed
 from keepwell.functions.ladders import lookup
 from keepwell.operators.mlprep import binary_metrics, fill_categories
 from keepwell.operators.ranking import rank_auc, stratified_split
+from keepwell.plans.medians import ExactMedianImputer
 
 ID = "customer_id"
 FLAG = "never_purchased"
@@ -97,7 +98,7 @@ def preparation() -> list:
     """Median imputation, one-hot encoding, scaling; levels unseen in training encode as all zeros."""
     categories = list(fixed.CATEGORICAL_FEATURES)
     return [
-        Imputer(strategy="median", inputCols=_NUMERIC, outputCols=[f"{c}_filled" for c in _NUMERIC]),
+        ExactMedianImputer(inputCols=_NUMERIC, outputCols=[f"{c}_filled" for c in _NUMERIC]),
         StringIndexer(
             inputCols=categories, outputCols=[f"{c}_index" for c in categories],
             stringOrderType="alphabetAsc", handleInvalid="keep",

@@ -14,13 +14,14 @@ from keepwell.functions.money import cents, from_cents
 from keepwell.operators import dedup, mlprep, quality, ranking, sync
 from keepwell.plans import actions, churn, customer360, kpis, ml, serving, silver
 from keepwell.plans.medallion import GoldTables, refresh_gold
+from keepwell.plans.registry import ModelRegistry
 from keepwell.plans.tables import CustomerTables
 from keepwell.session import fresh_path
 from keepwell.sources import generate
 from keepwell.sources.files import SharedFiles
 from keepwell.sources.retail_inputs import AS_OF, RetailInputs
 from keepwell.sources.served import ServedCopy
-from keepwell.sources.tables import manifest, publish
+from keepwell.sources.tables import create_database, manifest, publish
 from keepwell.streaming import ingest
 from keepwell.streaming.refresh import Streamed, profile_from_silver, stream_to_silver
 
@@ -930,8 +931,48 @@ def ml_vs_rules_trained(env: Env) -> DataFrame:
     return mlprep.compare_predictions(joined, fixed.LABEL, "ml_prediction", "rule_prediction", ["split"])
 
 
+_REGISTRIES: dict[tuple, ModelRegistry] = {}
+
+
+def _registry(env: Env) -> ModelRegistry:
+    """All candidates registered, the scores of the best one deployed."""
+    key = _inputs_now(env)
+    if key not in _REGISTRIES:
+        base, split, *_ = _training_set(env)
+        database = _new_database("P")
+        create_database(env.spark, database)
+        registry = ModelRegistry(env.spark, f"{base}/registry", f"{database}.deployed_churn_scores")
+        chosen = ml.leaderboard(_all_runs(env)).collect()
+        for row in chosen:
+            figures = {k: float(v) for k, v in row.asDict().items() if k != "model" and v is not None}
+            registry.register(row.model, _trained(env, row.model).path, figures)
+        run = registry.best("validation_f1")
+        rows = features(env, "P")
+        predicted = ml.predict(registry.model(run), ml.model_frame(rows)).select("customer_id", "ml_churn_probability")
+        scores = churn.scores_from_probability(rows.join(predicted, "customer_id"), F.col("ml_churn_probability"))
+        registry.deploy(run, scores, rows)
+        _REGISTRIES[key] = registry
+    return _REGISTRIES[key]
+
+
 @query
 def deploy_scores_trained(env: Env) -> DataFrame:
-    scored = features(env, "P")
-    predicted = ml.predict(_best(env).model, ml.model_frame(scored)).select("customer_id", "ml_churn_probability")
-    return churn.scores_from_probability(scored.join(predicted, "customer_id"), F.col("ml_churn_probability"))
+    """The published scores of the registered model that is deployed."""
+    return _registry(env).scores()
+
+
+@query
+def deploy_runs(env: Env) -> DataFrame:
+    """Registered runs, and which one is deployed in which version of the scores."""
+    registry = _registry(env)
+    now = registry.current()
+    deployed = F.col("run") == now["run"]
+    return registry.runs().select("run", "model", "metrics", F.when(deployed, now["version"]).alias("deployed_version"))
+
+
+@query
+def current_scores_trained(env: Env) -> DataFrame:
+    """Deployed model scores for customers with a purchase, rule scores for the others."""
+    bought = features(env, "P").filter(F.col("days_since_last_purchase") < fixed.NEVER_PURCHASED_DAYS)
+    deployed = _registry(env).scores().join(bought.select("customer_id"), "customer_id", "left_semi")
+    return churn.current_scores(deployed, gold(env, "P")["gold_customer_churn_scores"])
