@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.llm.components import components
-from keepwell.llm.staging import CHUNKS, carried, chunk_rows, gather, inner_tables, is_taken, small_batches, stage, taken_slots
+from keepwell.llm.staging import CHUNKS, carried, chunk_rows, gather, inner_tables, is_taken, light, small_batches, stage, taken_slots
 from keepwell.llm.words import FACTORS, gram_hashes, mix, text_buffer, words_of
 
 SHINGLE = 5
@@ -172,25 +172,22 @@ def _can_link(n_a, p_a, n_b, p_b):
 PAIRS = "a binary, b binary, n_a int, n_b int"
 
 
-def _pair_batch(a: list, b: list, n_a: list, n_b: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n_a, pa.int32()), pa.array(n_b, pa.int32())],
-        names=["a", "b", "n_a", "n_b"],
-    )
+MET = "a binary, b binary, n_a int, n_b int, h long, p int"
 
 
 def _first_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs from lists of classes that share a shingle of their prefixes.
+    """Pairs (a, b) from lists of classes that share a shingle of their prefixes, and the members (a, h, p) of long lists.
 
     Lists come sorted by place, so the first member is the one with the fewest rarer shingles. Short
     lists give all their pairs, longer ones the pairs with the first member; either only where the
-    pair can still link. No more than SHORT members of a list are held at once.
+    pair can still link. No more than SHORT members of a list are held at once. Longer lists are handed on here,
+    so the postings are shuffled once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members = None, []
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: list[tuple] = []
             columns = [batch.column(i).to_pylist() for i in range(4)]
             for h, cls, n, p in zip(*columns, strict=True):
                 if h != key:
@@ -199,17 +196,22 @@ def _first_pairs(postings: DataFrame) -> DataFrame:
                     continue  # a copy met by another task
                 for other, m, q in members if len(members) <= SHORT else members[:1]:
                     if other != cls and _fits(n, p, m, q):
-                        a, b = ((cls, n), (other, m)) if cls < other else ((other, m), (cls, n))
-                        for to, value in zip(out, (a[0], b[0], a[1], b[1]), strict=True):
-                            to.append(value)
-                if len(members) <= SHORT:
+                        (a, n_a), (b, n_b) = ((cls, n), (other, m)) if cls < other else ((other, m), (cls, n))
+                        out.append((a, b, n_a, n_b, None, None))
+                if len(members) < SHORT:
+                    members.append((cls, n, p))
+                elif len(members) == SHORT:
                     members.append((cls, n, p))
+                    out.extend((c, None, k, None, h, q) for c, k, q in members)
                 else:
                     members[-1] = (cls, n, p)
-            if out[0]:
-                yield _pair_batch(*out)
+                    out.append((cls, None, n, None, h, p))
+            kinds = pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)], names=["a", "b", "n_a", "n_b", "h", "p"]
+            )
 
-    return postings.mapInArrow(run, PAIRS)
+    return postings.mapInArrow(run, MET)
 
 
 def _near_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -235,10 +237,10 @@ def _fits(n: int, p: int, m: int, q: int) -> bool:
     return min(n - p, m - q) >= -(-LEAST * (n + m) // (PER + LEAST))
 
 
-def _later_pairs(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components from the lists longer than SHORT that hold more than one."""
-    sizes = postings.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT)
-    long_lists = postings.join(sizes, "h").join(roots, F.col("cls") == F.col("node"), "left")
+def _later_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of different components from the (h, cls, n, p) members of lists longer than SHORT."""
+    sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
+    long_lists = members.join(sizes, "h").join(roots, F.col("cls") == F.col("node"), "left")
     root = F.coalesce("root", "cls")
     long_lists = stage(long_lists.select("h", "cls", "n", "p", "m", root.alias("root")).distinct(), "lists")
     mixed = long_lists.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
@@ -379,10 +381,12 @@ def _roots(docs: DataFrame, text: str, sent, cut) -> DataFrame:
         prefixes = stage(_prefixes(docs, text, sent), "prefixes")
         postings = prefixes.select("cls", "n", F.posexplode("prefix").alias("p", "h")).select("h", "cls", "n", "p")
         sorted_lists = postings.repartition("h").sortWithinPartitions("h", "p", "n", "cls")
-        pairs = stage(_first_pairs(sorted_lists).distinct(), "pairs")
+        met = stage(_first_pairs(sorted_lists), "met")
+        pairs = stage(met.filter("h is null").select("a", "b", "n_a", "n_b").distinct(), "pairs")
+        long_lists = met.filter("h is not null").select("h", F.col("a").alias("cls"), F.col("n_a").alias("n"), "p")
         links = _linked(stage(_near_enough(pairs, prefixes), "near"), docs, text, cut)
         roots = components(links, "a", "b")
-        more = stage(_later_pairs(postings, roots).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = stage(_later_pairs(long_lists, roots).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
             later = _linked(stage(_near_enough(more, prefixes), "near"), docs, text, cut)
             roots = components(links.unionByName(later), "a", "b")
@@ -419,12 +423,12 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     """docs with one document of each component: the one with the smallest id.
 
     Rows that share an id (or have none) are told apart by their texts, and of equal rows one stays.
-    Only ids travel to the comparison with the texts' table; a component of one row needs none.
+    Only ids travel to the comparison with the texts' table; as long as they are light, the texts stay where they are.
     """
     found = near_duplicates(docs)
     same = F.col("component_id").eqNullSafe(F.col("doc_id"))
     kept = found.filter(same | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
-    kept = stage(kept.withColumnRenamed("doc_id", "id"), "kept")
+    kept = light(stage(kept.withColumnRenamed("doc_id", "id"), "kept"))
     joined = carried(docs, ident=F.col("doc_id").cast("long")).join(kept, F.col("ident").eqNullSafe(F.col("id")))
     single = joined.filter("m = 1").select("row")
     repeated = joined.filter("m > 1").withColumn("text", F.col("row.text")).dropDuplicates(["ident", "text"])

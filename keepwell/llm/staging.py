@@ -64,6 +64,22 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         files.delete(paths.pop())
 
 
+# Tables of fixed-width rows up to so many bytes are broadcast rather than shuffled against whole texts.
+LIGHT = 32 << 20
+
+
+def light(df: DataFrame) -> DataFrame:
+    """df marked for a broadcast join if its rows, counted now, hold no more than LIGHT bytes; else as it is.
+
+    Rows must be of fixed width, or hold arrays of such.
+    """
+    # 16 bytes for a row, a plain value and an array's entry are more than they take
+    arrays = {f.name for f in df.schema.fields if f.dataType.typeName() == "array"}
+    entries = sum((F.coalesce(F.size(f"`{name}`"), F.lit(0)) for name in arrays), F.lit(1 + len(df.columns)))
+    held = 16 * (df.agg(F.sum(entries)).first()[0] or 0)
+    return F.broadcast(df) if held <= LIGHT else df
+
+
 def carried(docs: DataFrame, **needed: Column) -> DataFrame:
     """docs with each row as the one struct `row` beside the needed columns, so no name of docs can clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in needed.items()])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.staging import carried, is_taken, small_batches, stage, taken_slots
+from keepwell.llm.staging import carried, is_taken, light, small_batches, stage, taken_slots
 from keepwell.llm.words import gram_hashes, mix, power_tables, text_buffer, words_of
 
 PASSAGE = 50
@@ -275,7 +275,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cuts = spans.groupBy("doc", "k").agg(
         F.collect_set(F.struct("start", "stop")).alias("_spans")  # at most one for each word of the text
     )
-    cuts = stage(cuts, "cuts")
+    cuts = light(stage(cuts, "cuts"))
     rows = carried(docs, ident=F.col("doc_id").cast("long"), digest=_digest(F.col("text")))
     joined = rows.join(cuts, F.col("ident").eqNullSafe(F.col("doc")) & (F.col("digest") == F.col("k")), "left")
 
