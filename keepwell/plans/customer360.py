@@ -55,6 +55,16 @@ def activity_measures(counts: Column, amount: Column, age_days: Column, windows:
     return measures
 
 
+def activity_sums(counts: Column, cents_: Column, age_days: Column, windows: Sequence[int]) -> list[Column]:
+    """The same from rows that each hold a day's counts and cents."""
+    measures = []
+    for days in windows:
+        recent = age_days.between(0, days)
+        measures.append(F.coalesce(F.sum(F.when(recent, counts)), F.lit(0)).alias(f"transactions_last_{days}d"))
+        measures.append(F.coalesce(F.sum(F.when(recent, cents_)), F.lit(0)).alias(f"cents_last_{days}d"))
+    return measures
+
+
 def _defaults(columns: dict[str, Column | int | float]) -> dict[str, Column]:
     return {name: F.coalesce(F.col(name), F.lit(value)) for name, value in columns.items()}
 

@@ -136,22 +136,38 @@ def refine(
     long as the watermark, `delay` behind the latest time, has not passed them.
     """
     project, rules = SILVER_P[dataset]
-    upstream, sink = BatchSink(spark, bronze), BatchSink(spark, target)
+    sink = BatchSink(spark, target)
     figures = violation_figures(rules)
-    for folder, schema in upstream.schemas().items():
-        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-        rows = project(reader.option("recursiveFileLookup", "true").parquet(f"{bronze}/data/{folder}"))
-        if unique:
-            timed = rows.withColumn("_time", F.col(unique.time).cast("timestamp")).withWatermark("_time", unique.delay)
-            rows = timed.dropDuplicatesWithinWatermark([unique.key]).drop("_time")
 
-        def take(batch_rows: DataFrame, batch: int, folder: str = folder) -> None:
-            sink.write(batch_rows, f"{folder}-b{batch:09d}", figures, lambda df: drop_violators(df, rules))
+    def prepared(rows: DataFrame) -> DataFrame:
+        rows = project(rows)
+        if not unique:
+            return rows
+        timed = rows.withColumn("_time", F.col(unique.time).cast("timestamp")).withWatermark("_time", unique.delay)
+        return timed.dropDuplicatesWithinWatermark([unique.key]).drop("_time")
+
+    def take(rows: DataFrame, name: str) -> None:
+        sink.write(rows, name, figures, lambda df: drop_violators(df, rules))
 
-        _run(rows, f"{checkpoint}/{folder}", f"silver_{dataset}", take)
+    each_batch(BatchSink(spark, bronze), checkpoint, f"silver_{dataset}", take, files_per_batch, prepared)
     return sink
 
 
+def each_batch(
+    upstream: BatchSink,
+    checkpoint: str,
+    name: str,
+    take: Callable[[DataFrame, str], None],
+    files_per_batch: int = 1000,
+    prepared: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Hand over what was stored upstream since the last run, in named micro-batches; each schema is a stream."""
+    for group, schema in upstream.schemas().items():
+        reader = upstream.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+        rows = reader.option("recursiveFileLookup", "true").parquet(f"{upstream.base}/data/{group}")
+        _run(prepared(rows), f"{checkpoint}/{group}", name, lambda df, batch, group=group: take(df, f"{group}-b{batch:09d}"))
+
+
 def violation_rows(spark: SparkSession, dataset: str, totals: Mapping[str, int], rules: tuple[Rule, ...]) -> DataFrame:
     rows = [(dataset, r.name, r.action, totals.get("rows", 0), totals.get(r.name, 0)) for r in rules]
     return spark.createDataFrame(

@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -58,14 +58,28 @@ class BatchSink:
         read = lambda name: StructType.fromJson(json.loads(self.files.read(f"{self.base}/data/{name}/_schema")))
         return {name: read(name) for _, name in sorted(folders)}
 
-    def read(self) -> DataFrame:
-        """All stored rows under the widest schema."""
+    def batches(self) -> list[str]:
+        """Names of the stored batches."""
+        return sorted(n for group in self.schemas() for n in self._names(group))
+
+    def _names(self, group: str) -> list[str]:
+        return [n for n in self.files.names(f"{self.base}/data/{group}") if not n.startswith("_")]
+
+    def read(self, without: Collection[str] = ()) -> DataFrame | None:
+        """All stored rows under the widest schema; None if there is no batch but those left out."""
+        folders: dict[str, list[str]] = {}
         schemas = self.schemas()
-        wide = merged(schemas.values())
-        parts = [
-            conformed(self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.base}/data/{name}"), wide)
-            for name, schema in schemas.items()
-        ]
+        for group in schemas:
+            place = f"{self.base}/data/{group}"
+            if not without:
+                folders[group] = [place]
+            elif held := [f"{place}/{n}" for n in self._names(group) if n not in without]:
+                folders[group] = held
+        if not folders:
+            return None
+        wide = merged(schemas[group] for group in folders)
+        reader = self.spark.read.option("recursiveFileLookup", "true")
+        parts = [conformed(reader.schema(schemas[group]).parquet(*held), wide) for group, held in folders.items()]
         return reduce(DataFrame.unionByName, parts)
 
     def totals(self) -> dict[str, int]:

@@ -345,6 +345,7 @@ LEFT JOIN n_actions a ON s.customer_id = a.customer_id WHERE s.customer_id = 42"
 ORACLES["ingest_stream_products"] = ORACLES["silver_products_p"]
 ORACLES["ingest_stream_transactions"] = ORACLES["silver_transactions_unified"]
 ORACLES["streamed_gold_360_p"] = ORACLES["gold_customer_360_p"]
+ORACLES["incremental_gold_360_p"] = ORACLES["gold_customer_360_p"]
 ORACLES["stream_silver_orders"] = ORACLES["dq_expect_or_drop"]
 _add(
     p.RAW_DIRTY,
