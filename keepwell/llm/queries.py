@@ -11,6 +11,9 @@ from keepwell.llm import (
     bpe_tree, chat, decontamination, jaccard_join, mixing, periodic_runs, quality_rules, sharding, spelling, suffix_dedup,
     token_counts, topk, toxicity,
 )
+from keepwell.llm.statements import LLM_SQL
+
+__all__ = ["LLM_QUERIES", "LLM_SQL"]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,20 +82,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_periodic_runs,
     )
 }
-LLM_SQL: dict[str, str] = {
-    "op1_threshold_topk": """
-        WITH fine AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
-            FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
-        ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-            FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
-        ), ranked AS (
-            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-            FROM scored
-        )
-        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
-    """,
-}
