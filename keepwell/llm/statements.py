@@ -65,6 +65,74 @@ LLM_SQL: dict[str, str] = {
         )
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN sizes USING (r) JOIN least USING (r)
     """,
+    "op10_quality_rules": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), repeated AS (
+            SELECT r, count(DISTINCT p) AS n FROM (
+                SELECT r, unnest(range(i, i + 8)) AS p FROM (
+                    SELECT r, unnest(places) AS i FROM (
+                        SELECT r, list(i) AS places
+                        FROM (SELECT r, i, w[i : i + 7] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))
+                        GROUP BY r, g HAVING count(*) > 1)))
+            GROUP BY r
+        ), lines AS (
+            SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d
+        ), measured AS (
+            SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+                   len(l) AS n_lines
+            FROM d JOIN lines USING (r) LEFT JOIN repeated USING (r)
+        ), judged AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+        ), features AS (
+            SELECT r, lang, source, unnest([
+                {'feature': 'symbol_ratio', 'width': 3.0e0, 'least': 0.03e0, 'low': false, 'v': n_symbols / greatest(n_words, 1)},
+                {'feature': 'dup_line_ratio', 'width': 3.0e0, 'least': 0.2e0, 'low': false, 'v': n_dup_lines / greatest(n_lines, 1)},
+                {'feature': 'repeat_ratio', 'width': 3.0e0, 'least': 0.1e0, 'low': false, 'v': n_repeat_words / greatest(n_words, 1)},
+                {'feature': 'word_length', 'width': 8.0e0, 'least': 0.3e0, 'low': true, 'v': word_chars / greatest(n_words, 1)}
+            ], recursive := true)
+            FROM judged WHERE NOT base_failed
+        ), binned AS (
+            SELECT *, CASE WHEN v < 1e-6 THEN -10000 ELSE CAST(ceil(ln(v) / ln(1.02020202020202e0)) AS INTEGER) END AS bin FROM features
+        ), scopes AS (
+            SELECT 'own' AS scope, lang, source, feature, bin, count(*) AS n FROM binned GROUP BY ALL
+            UNION ALL SELECT 'lang', lang, NULL, feature, bin, count(*) FROM binned GROUP BY ALL
+            UNION ALL SELECT 'all', NULL, NULL, feature, bin, count(*) FROM binned GROUP BY ALL
+        ), running AS (
+            SELECT *, sum(n) OVER (PARTITION BY scope, lang, source, feature ORDER BY bin) AS upto,
+                   sum(n) OVER (PARTITION BY scope, lang, source, feature) AS total FROM scopes
+        ), bins AS (
+            SELECT scope, lang, source, feature, max(total) AS total,
+                   min(bin) FILTER (upto >= 0.25e0 * total) AS low, min(bin) FILTER (upto >= 0.75e0 * total) AS high
+            FROM running GROUP BY ALL
+        ), quartiles AS (
+            SELECT scope, lang, source, feature, total,
+                   CASE WHEN low = -10000 THEN 0.0e0 ELSE 2 * pow(1.02020202020202e0, low) / (1.02020202020202e0 + 1) END AS low,
+                   CASE WHEN high = -10000 THEN 0.0e0 ELSE 2 * pow(1.02020202020202e0, high) / (1.02020202020202e0 + 1) END AS high
+            FROM bins
+        ), checked AS (
+            SELECT b.r, v, width, least, b.low AS two_sided,
+                   CASE WHEN o.total >= 50 THEN o.low WHEN l.total >= 50 THEN l.low ELSE a.low END AS q1,
+                   CASE WHEN o.total >= 50 THEN o.high WHEN l.total >= 50 THEN l.high ELSE a.high END AS q3
+            FROM binned b
+            JOIN quartiles o ON o.scope = 'own' AND o.feature = b.feature AND o.lang IS NOT DISTINCT FROM b.lang
+                            AND o.source IS NOT DISTINCT FROM b.source
+            JOIN quartiles l ON l.scope = 'lang' AND l.feature = b.feature AND l.lang IS NOT DISTINCT FROM b.lang
+            JOIN quartiles a ON a.scope = 'all' AND a.feature = b.feature
+        ), verdicts AS (
+            SELECT r, bool_and(v <= q3 + width * greatest(q3 - q1, least)
+                               AND v >= CASE WHEN two_sided THEN q1 - width * greatest(q3 - q1, least) ELSE -1 END) AS fits
+            FROM checked GROUP BY r
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce(fits, true) AS kept
+        FROM judged LEFT JOIN verdicts USING (r)
+    """,
     "op12_decontamination": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
