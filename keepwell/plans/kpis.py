@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from keepwell import fixed_values as fixed
 from keepwell.functions.money import cents, from_cents, guarded_ratio
@@ -39,6 +40,57 @@ def executive_kpis(transactions: DataFrame) -> DataFrame:
     )
 
 
+def daily_partials(transactions: DataFrame) -> DataFrame:
+    """Mergeable figures of each day and channel from one pass over the facts, with who bought.
+
+    Whole-number ids are kept as bitmaps: a row per block of ids, with a bit for each customer of the
+    block. Other ids are kept as they are, a row each. Either form counts customers exactly over any
+    choice of days and channels, without going back to the facts.
+    """
+    rows = transactions.select(
+        F.to_date("transaction_timestamp").alias("metric_date"),
+        "channel",
+        "customer_id",
+        "is_refund_or_return",
+        cents(F.col("gross_amount")).alias("amount"),
+    )
+    figures = [
+        F.sum("amount").alias("cents"), F.count("amount").alias("priced"),
+        F.count(F.lit(1)).alias("total_transactions"), F.count_if("is_refund_or_return").alias("refunds"),
+    ]
+    if not isinstance(transactions.schema["customer_id"].dataType, IntegralType):
+        return rows.groupBy("metric_date", "channel", "customer_id").agg(*figures)
+    block = F.bitmap_bucket_number("customer_id").alias("block")
+    buyers = F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("buyers")
+    return rows.groupBy("metric_date", "channel", block).agg(*figures, buyers)
+
+
+def kpis_from_partials(partials: DataFrame) -> DataFrame:
+    """What executive_kpis gives, from the stored partial figures."""
+    counted = F.sum(F.bitmap_count("buyers")) if "buyers" in partials.columns else F.count("customer_id")
+    merged = partials.groupBy("metric_date", "channel").agg(
+        *[F.sum(name).alias(name) for name in ("cents", "priced", "total_transactions", "refunds")],
+        counted.alias("unique_customers"),
+    )
+    return merged.select(
+        "metric_date",
+        "channel",
+        from_cents(F.col("cents")).alias("total_revenue"),
+        "total_transactions",
+        "unique_customers",
+        guarded_ratio(from_cents(F.col("cents")), F.col("priced")).alias("avg_order_value"),
+        guarded_ratio(F.col("refunds"), F.col("total_transactions")).alias("refund_return_rate"),
+    )
+
+
+def distinct_customers(partials: DataFrame, *by: str) -> DataFrame:
+    """Customers counted once, over all the partials or for each value of some of their columns."""
+    if "buyers" not in partials.columns:
+        return partials.groupBy(*by).agg(F.count_distinct("customer_id").alias("distinct_customers"))
+    blocks = partials.groupBy(*by, "block").agg(F.bitmap_count(F.bitmap_or_agg("buyers")).alias("n"))
+    return blocks.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("distinct_customers"))
+
+
 def channel_summary(kpis: DataFrame) -> DataFrame:
     """Per channel: plain averages of the daily figures, and the volume-weighted ones."""
     total = F.sum(cents(F.col("total_revenue")))
@@ -59,10 +111,11 @@ def channel_summary(kpis: DataFrame) -> DataFrame:
     )
 
 
-def overall(kpis: DataFrame, transactions: DataFrame) -> DataFrame:
+def overall(kpis: DataFrame, partials: DataFrame) -> DataFrame:
     """Whole-business totals. customer_days adds up daily distinct counts and so
-    counts a customer once per day and channel; distinct_customers does not."""
-    distinct = transactions.agg(F.count_distinct("customer_id"))
+    counts a customer once per day and channel; distinct_customers, merged from the
+    stored bitmaps, does not."""
+    distinct = distinct_customers(partials)
     return kpis.agg(
         from_cents(F.sum(cents(F.col("total_revenue")))).alias("total_business_revenue"),
         F.sum("total_transactions").alias("total_business_transactions"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from keepwell.plans import actions, churn, customer360
+from keepwell.plans.kpis import kpis_from_partials
 from keepwell.sources.served import ServedCopy, sync
 from keepwell.sources.tables import create_database, publish, table_at, table_feed, version_log
 
@@ -18,6 +19,7 @@ COMMENTS = {
     "gold_customer_churn_scores": "Rule-based churn scores, bands and reasons",
     "gold_next_best_actions": "Offer, action and message per customer",
     "gold_executive_kpis": "Daily KPIs per channel",
+    "gold_daily_partials": "Mergeable daily figures per channel, with the buyers",
 }
 
 
@@ -47,9 +49,17 @@ class GoldTables:
 
 
 def refresh_gold(
-    spark: SparkSession, database: str, base: str, profile: DataFrame, kpis: DataFrame | None, variant: str
+    spark: SparkSession,
+    database: str,
+    base: str,
+    profile: DataFrame,
+    kpis: DataFrame | None,
+    variant: str,
+    partials: DataFrame | None = None,
 ) -> GoldTables:
-    """Publish the gold tables of a variant from its customer profile.
+    """Publish the gold tables of a variant from its customer profile, and the daily KPIs.
+
+    With the partial figures of each day, these are stored and the KPIs are merged from the stored rows.
 
     Joins and aggregates run once, for the profile; 360, features, scores and
     actions are row-wise projections of the stored rows. All customer tables share
@@ -60,9 +70,16 @@ def refresh_gold(
     def put(name: str, df: DataFrame, key: str | None = "customer_id") -> DataFrame:
         return publish(df, f"{database}.{name}", base, COMMENTS[name], key)
 
+    def put_daily() -> None:
+        figures = kpis
+        if partials is not None:
+            figures = kpis_from_partials(put("gold_daily_partials", partials, None))
+        if figures is not None:
+            put("gold_executive_kpis", figures, None)
+
     with ThreadPoolExecutor() as pool:
         # independent of the profile, so it runs beside it
-        daily = None if kpis is None else pool.submit(put, "gold_executive_kpis", kpis, None)
+        daily = pool.submit(put_daily)
         stored = put("customer_profile", profile)
         if variant == "N":
             scored = churn.add_scores_n(churn.add_features_n(stored))
@@ -79,6 +96,5 @@ def refresh_gold(
             "gold_next_best_actions": texts.select(*actions.ACTIONS),
         }
         list(pool.map(lambda item: put(*item), projections.items()))
-        if daily:
-            daily.result()
+        daily.result()
     return GoldTables(spark, database, base)

@@ -69,9 +69,10 @@ def gold(env: Env, variant: str = "N") -> GoldTables:
     """The gold tables of a folder, refreshed once per session and state of the files into the shared folder."""
     key = (*_inputs_now(env), variant)
     if key not in _DATABASES:
-        profile, daily = (env.profile_n, env.kpis) if variant == "N" else (env.profile_p, None)
+        profile = env.profile_n if variant == "N" else env.profile_p
+        partials = kpis.daily_partials(env.transactions) if variant == "N" else None
         _DATABASES[key] = refresh_gold(
-            env.spark, _new_database(variant), fresh_path(env.spark, "gold"), profile, daily, variant
+            env.spark, _new_database(variant), fresh_path(env.spark, "gold"), profile, None, variant, partials
         )
     return _DATABASES[key]
 
@@ -458,7 +459,14 @@ def kpi_channel_summary(env: Env) -> DataFrame:
 
 @query
 def kpi_overall(env: Env) -> DataFrame:
-    return kpis.overall(gold(env)["gold_executive_kpis"], env.transactions)
+    return kpis.overall(gold(env)["gold_executive_kpis"], gold(env)["gold_daily_partials"])
+
+
+@query
+def kpi_distinct_customers(env: Env) -> DataFrame:
+    """Customers counted once per channel and month, merged from the stored bitmaps."""
+    monthly = gold(env)["gold_daily_partials"].withColumn("month", F.trunc("metric_date", "month"))
+    return kpis.distinct_customers(monthly, "channel", "month")
 
 
 @query

@@ -213,6 +213,9 @@ SELECT CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_busine
   CAST(sum(total_transactions) AS BIGINT) AS total_business_transactions,
   count(DISTINCT metric_date) AS days_of_data, CAST(sum(unique_customers) AS BIGINT) AS customer_days,
   (SELECT count(DISTINCT customer_id) FROM transactions) AS distinct_customers FROM kpis""",
+    kpi_distinct_customers="""
+SELECT channel, CAST(date_trunc('month', transaction_timestamp) AS DATE) AS month, count(DISTINCT customer_id) AS distinct_customers
+FROM transactions GROUP BY 1, 2""",
     latest_kpis="SELECT * FROM kpis ORDER BY metric_date DESC, channel LIMIT 10",
 )
 
@@ -302,6 +305,36 @@ JOIN n_features f ON s.customer_id = f.customer_id AND f.days_since_last_purchas
 )
 
 # --- stored tables ---------------------------------------------------------------------------------
+_C360_TYPES = (
+    "customer_id bigint, full_name string, email string, city string, state string, loyalty_tier string, "
+    "points_balance bigint, is_loyalty_member boolean, total_transactions bigint, completed_transactions bigint, "
+    "total_revenue double, ecommerce_revenue double, instore_revenue double, avg_order_value double, "
+    "first_purchase_date date, last_purchase_date date, days_since_last_purchase int, favorite_category string, "
+    "preferred_channel string, refund_return_count bigint, customer_lifetime_value_proxy double"
+)
+ORACLES["describe_table"] = f"{p.N} " + " UNION ALL ".join(
+    f"SELECT 'gold_customer_360' AS table_name, CAST({position} AS INTEGER) AS position, '{column.split()[0]}' AS column_name, "
+    f"'{column.split()[1]}' AS data_type, true AS is_nullable, count(*) - count({column.split()[0]}) AS null_values FROM n_360"
+    for position, column in enumerate(_C360_TYPES.split(", "))
+)
+# a block of the daily partials holds 32 768 customer ids, the first of them 1
+_BLOCK = "CASE WHEN customer_id > 0 THEN 1 + (customer_id - 1) // 32768 ELSE customer_id // 32768 END"
+_CUSTOMERS = "(SELECT count(*) FROM n_360)"
+_PUBLISHED = (
+    ("customer_profile", "One wide row per customer behind the gold tables", 37, _CUSTOMERS),
+    ("gold_customer_360", "Customer profile, loyalty, channel revenue and recency", 21, _CUSTOMERS),
+    ("gold_customer_churn_features", "Model-ready churn features", 14, _CUSTOMERS),
+    ("gold_customer_churn_scores", "Rule-based churn scores, bands and reasons", 6, _CUSTOMERS),
+    ("gold_daily_partials", "Mergeable daily figures per channel, with the buyers", 8,
+     f"(SELECT count(*) FROM (SELECT DISTINCT CAST(transaction_timestamp AS DATE), channel, {_BLOCK} FROM transactions))"),
+    ("gold_executive_kpis", "Daily KPIs per channel", 7,
+     "(SELECT count(*) FROM (SELECT DISTINCT CAST(transaction_timestamp AS DATE), channel FROM transactions))"),
+    ("gold_next_best_actions", "Offer, action and message per customer", 12, _CUSTOMERS),
+)
+ORACLES["table_manifest"] = f"{p.N} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{comment}' AS comment, CAST({columns} AS INTEGER) AS column_count, {count} AS row_count"
+    for name, comment, columns, count in _PUBLISHED
+)
 ORACLES["write_roundtrip_overwrite"] = f"{p.N_KPIS} SELECT * FROM kpis WHERE channel = 'Ecommerce'"
 ORACLES["write_schema_replace"] = (
     f"{p.N} SELECT customer_id, CAST(churn_score AS DOUBLE) AS churn_score, churn_risk_band FROM n_scores"
