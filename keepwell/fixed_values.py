@@ -185,3 +185,31 @@ BOX_PLOT_FEATURES = (
 )
 SPLIT_SHARES = (("train", 0.70), ("validation", 0.15), ("test", 0.15))
 SPLIT_SEED = 42
+
+# Limits of the reasons in variant N: points of a part of the score card from which it is named.
+RECENCY_NAMED_N = 25
+FREQUENCY_NAMED_N = 20
+REFUND_NAMED_N = 10
+SECOND_FREQUENCY_NAMED_N = 10
+BRONZE_TIER = "Bronze"
+
+# Limits and points of the additive score in variant P.
+LONG_GAP_DAYS_P = 180
+GAP_DAYS_P = 90
+FEW_TRANSACTIONS_P = 5
+LOW_REVENUE_P = 500
+LEAST_REVENUE_P = 100
+MANY_REFUNDS_P = 3
+LONG_GAP_POINTS_P = 40
+GAP_POINTS_P = 20
+FEW_TRANSACTIONS_POINTS_P = 15
+LOW_REVENUE_POINTS_P = 15
+MANY_REFUNDS_POINTS_P = 10
+MOST_POINTS_P = 100
+
+# Limits of the reasons beside model scores.
+LONG_GAP_DAYS_ML = 180
+GAP_DAYS_ML = 90
+FEW_TRANSACTIONS_ML = 3
+LOW_REVENUE_ML = 200
+HIGH_REFUND_RATE_ML = 0.1

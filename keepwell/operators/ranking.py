@@ -77,7 +77,8 @@ def with_running_total(
     never NULL, so a NULL group keeps its rows, and the join back and the window after it
     share one exchange.
     """
-    groups = {f"__group{i}": F.coalesce(F.col(c).cast("string"), F.lit("∅")) for i, c in enumerate(by)}
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+    groups = {f"__group{i}": named(c) for i, c in enumerate(by)}
     levels = {f"__level{i}": column for i, column in enumerate(prefixes)}
     keys = [*groups, *levels]
     tagged = df.withColumns({**groups, **levels})

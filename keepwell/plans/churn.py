@@ -80,7 +80,7 @@ def add_score_card_n(features: DataFrame) -> DataFrame:
 
 def add_scores_n(features: DataFrame) -> DataFrame:
     recency, frequency, refund = F.col("recency_score"), F.col("frequency_score"), F.col("refund_score")
-    recent = recency < 25
+    recent = recency < fixed.RECENCY_NAMED_N
     return (
         add_score_card_n(features)
         .withColumns(
@@ -88,17 +88,17 @@ def add_scores_n(features: DataFrame) -> DataFrame:
                 "churn_risk_band": at_least(F.col("churn_score"), fixed.SCORE_BANDS, fixed.LOWEST_BAND),
                 "top_reason_1": ladder(
                     [
-                        (recency >= 25, fixed.REASON_RECENCY_N),
-                        (frequency >= 20, fixed.REASON_FREQUENCY_N),
-                        (refund >= 10, fixed.REASON_REFUND_N),
+                        (recency >= fixed.RECENCY_NAMED_N, fixed.REASON_RECENCY_N),
+                        (frequency >= fixed.FREQUENCY_NAMED_N, fixed.REASON_FREQUENCY_N),
+                        (refund >= fixed.REFUND_NAMED_N, fixed.REASON_REFUND_N),
                     ],
                     fixed.REASON_NONE_N,
                 ),
                 "top_reason_2": ladder(
                     [
-                        ((frequency >= 10) & recent, fixed.SECOND_FREQUENCY_N),
-                        ((refund >= 10) & recent, fixed.SECOND_REFUND_N),
-                        (F.col("loyalty_tier") == "Bronze", fixed.SECOND_TIER_N),
+                        ((frequency >= fixed.SECOND_FREQUENCY_NAMED_N) & recent, fixed.SECOND_FREQUENCY_N),
+                        ((refund >= fixed.REFUND_NAMED_N) & recent, fixed.SECOND_REFUND_N),
+                        (F.col("loyalty_tier") == fixed.BRONZE_TIER, fixed.SECOND_TIER_N),
                     ],
                     fixed.SECOND_NONE_N,
                 ),
@@ -115,26 +115,31 @@ def churn_scores_n(features: DataFrame) -> DataFrame:
 # --- additive score, variant P ------------------------------------------------------
 def add_scores_p(c360: DataFrame) -> DataFrame:
     days, revenue = F.col("days_since_last_purchase"), F.col("total_revenue")
-    few, refunds = F.col("total_transactions") < 5, F.col("refund_return_count") > 3
+    few = F.col("total_transactions") < fixed.FEW_TRANSACTIONS_P
+    refunds = F.col("refund_return_count") > fixed.MANY_REFUNDS_P
+    long_gap, gap = days > fixed.LONG_GAP_DAYS_P, days > fixed.GAP_DAYS_P
+    low, least = revenue < fixed.LOW_REVENUE_P, revenue < fixed.LEAST_REVENUE_P
 
     def points(condition: Column, value: int) -> Column:
         return F.when(condition, value).otherwise(0)
 
     score = (
-        points(days > 180, 40) + points(days > 90, 20) + points(few, 15) + points(revenue < 500, 15) + points(refunds, 10)
-    )
+        points(long_gap, fixed.LONG_GAP_POINTS_P) + points(gap, fixed.GAP_POINTS_P)
+        + points(few, fixed.FEW_TRANSACTIONS_POINTS_P) + points(low, fixed.LOW_REVENUE_POINTS_P)
+        + points(refunds, fixed.MANY_REFUNDS_POINTS_P)
+    )
     return c360.withColumns(
         {
-            "churn_score": F.least(F.lit(100), score).cast("int"),
+            "churn_score": F.least(F.lit(fixed.MOST_POINTS_P), score).cast("int"),
             "churn_risk_band": ladder(
-                [((days > 180) | (revenue < 100), "High"), ((days > 90) | (revenue < 500), "Medium")],
+                [(long_gap | least, "High"), (gap | low, "Medium")],
                 fixed.LOWEST_BAND,
             ),
-            "top_reason_1": ladder([(days > 180, fixed.REASON_GAP_P)], fixed.REASON_NONE_P),
+            "top_reason_1": ladder([(long_gap, fixed.REASON_GAP_P)], fixed.REASON_NONE_P),
             "top_reason_2": ladder(
                 [
                     (few, fixed.SECOND_FREQUENCY_P),
-                    (revenue < 500, fixed.SECOND_REVENUE_P),
+                    (low, fixed.SECOND_REVENUE_P),
                     (refunds, fixed.SECOND_REFUND_P),
                 ],
                 fixed.SECOND_NONE_P,
@@ -153,13 +158,14 @@ def add_reasons_ml(features: DataFrame) -> DataFrame:
     return features.withColumns(
         {
             "top_reason_1": ladder(
-                [(days > 180, fixed.REASON_GAP_ML), (days > 90, fixed.REASON_INACTIVE_ML)], fixed.REASON_NONE_ML
+                [(days > fixed.LONG_GAP_DAYS_ML, fixed.REASON_GAP_ML), (days > fixed.GAP_DAYS_ML, fixed.REASON_INACTIVE_ML)],
+                fixed.REASON_NONE_ML,
             ),
             "top_reason_2": ladder(
                 [
-                    (F.col("transactions_last_90d") < 3, fixed.SECOND_FREQUENCY_ML),
-                    (F.col("revenue_last_90d") < 200, fixed.SECOND_REVENUE_ML),
-                    (F.col("refund_return_rate") > 0.1, fixed.SECOND_REFUND_ML),
+                    (F.col("transactions_last_90d") < fixed.FEW_TRANSACTIONS_ML, fixed.SECOND_FREQUENCY_ML),
+                    (F.col("revenue_last_90d") < fixed.LOW_REVENUE_ML, fixed.SECOND_REVENUE_ML),
+                    (F.col("refund_return_rate") > fixed.HIGH_REFUND_RATE_ML, fixed.SECOND_REFUND_ML),
                 ],
                 fixed.SECOND_NONE_ML,
             ),

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Where nothing is configured, one machine (tests) makes a temporary folder; a cluster uses the
-    warehouse, which all executors share.
+    warehouse if that was set, since its default is a path on the driver's own disk.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -48,6 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     if context.master.startswith("local") and not context.master.startswith("local-cluster"):
         made = tempfile.mkdtemp(prefix="keepwell-")
+    elif not context.getConf().contains("spark.sql.warehouse.dir"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     else:
         made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     context.setCheckpointDir(made)
