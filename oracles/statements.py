@@ -143,7 +143,7 @@ _add(
     ecom_metrics="SELECT customer_id, ecom_orders, CAST(ecom_revenue AS DOUBLE) AS ecom_revenue FROM p_ecom",
     pos_metrics="SELECT customer_id, pos_orders, CAST(pos_revenue AS DOUBLE) AS pos_revenue FROM p_store",
     refund_counts="SELECT * FROM p_refunds",
-    purchase_dates="SELECT * FROM p_dates",
+    purchase_dates="SELECT * EXCLUDE (last_counted_date) FROM p_dates",
     favorite_category_p="SELECT * FROM p_category",
     preferred_channel_p="SELECT * FROM p_channel",
     gold_customer_360_p="SELECT * FROM p_360",
