@@ -28,6 +28,11 @@ C360_N = (
     "last_purchase_date", "days_since_last_purchase", "favorite_category", "preferred_channel",
     "refund_return_count", "customer_lifetime_value_proxy",
 )
+# What the measures of variant N and the daily figures are counted from.
+FACTS = (
+    "customer_id", "product_id", "transaction_timestamp", "gross_amount", "channel",
+    "is_completed_transaction", "is_refund_or_return",
+)
 C360_P = C360_N[:3] + ("phone",) + C360_N[3:]
 
 

@@ -53,6 +53,11 @@ class CustomerTables:
     def transactions(self) -> DataFrame:
         return silver.transactions_unified(self.inputs.orders(), self.inputs.pos())
 
+    def stored_facts(self, path: str) -> DataFrame:
+        """The columns of the transactions that profile and KPIs count, stored once for both."""
+        self.transactions.select(*customer360.FACTS).write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def identity(self) -> DataFrame:
         return silver.customer_identity(self.customers_n, self.loyalty_n)

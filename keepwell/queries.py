@@ -69,11 +69,17 @@ def gold(env: Env, variant: str = "N") -> GoldTables:
     """The gold tables of a folder, refreshed once per session and state of the files into the shared folder."""
     key = (*_inputs_now(env), variant)
     if key not in _DATABASES:
-        profile = env.profile_n if variant == "N" else env.profile_p
-        partials = kpis.daily_partials(env.transactions) if variant == "N" else None
-        _DATABASES[key] = refresh_gold(
-            env.spark, _new_database(variant), fresh_path(env.spark, "gold"), profile, None, variant, partials
-        )
+        base = fresh_path(env.spark, "gold")
+        if variant == "N":
+            # two tables are computed from the facts, so these are conformed and stored once
+            facts = env.stored_facts(f"{base}/facts")
+            rollup = customer360.transaction_rollup_n(facts, env.products_n, env.as_of)
+            profile = customer360.profile_n(env.customers_n, env.loyalty_n, rollup, env.as_of)
+            partials = kpis.daily_partials(facts)
+        else:
+            profile, partials = env.profile_p, None
+        _DATABASES[key] = refresh_gold(env.spark, _new_database(variant), base, profile, None, variant, partials)
+        SharedFiles(env.spark).delete(f"{base}/facts")
     return _DATABASES[key]
 
 
