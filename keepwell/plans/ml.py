@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -118,21 +119,40 @@ class Trained:
     model: PipelineModel
     metrics: DataFrame
     path: str
+    predictions: DataFrame
 
 
 def fit_preparation(train: DataFrame) -> PipelineModel:
     return Pipeline(stages=preparation()).fit(train)
 
 
-def train_candidate(
-    name: str, prepared: PipelineModel, split: DataFrame, train: DataFrame, rows: int, path: str
-) -> Trained:
-    """Fit one candidate on the training rows, store it, and measure it on every split."""
-    estimator = CANDIDATES[name](rows)
-    classifier = estimator.fit(prepared.transform(train))
-    model = PipelineModel(stages=[*prepared.stages, classifier])
-    model.write().overwrite().save(path)
-    return Trained(name, model, evaluate(predict(model, split), name), path)
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def train_candidates(
+    names: Sequence[str], prepared: PipelineModel, split: DataFrame, train: DataFrame, rows: int, base: str
+) -> list[Trained]:
+    """Fit candidates on the training rows, store each, and measure it on every split.
+
+    The rows are prepared once for all of them. A boosted model is hundreds of short jobs one after the other, so
+    the candidates are fitted side by side. Predictions and measures are stored: what follows reads them.
+    """
+    ready = prepared.transform(train).select("features", fixed.LABEL, "balanced_weight", "positive_weight").persist()
+
+    def one(name: str) -> Trained:
+        path = f"{base}/{name}"
+        model = PipelineModel(stages=[*prepared.stages, CANDIDATES[name](rows).fit(ready)])
+        model.write().overwrite().save(path)
+        predictions = _stored(predict(model, split), f"{path}-predictions")
+        return Trained(name, model, _stored(evaluate(predictions, name), f"{path}-metrics"), path, predictions)
+
+    try:
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            return list(pool.map(one, names))
+    finally:
+        ready.unpersist()
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -903,18 +903,23 @@ def _training_set(env: Env) -> tuple:
     return _PREPARED[key]
 
 
-def _trained(env: Env, name: str) -> ml.Trained:
+def _all_trained(env: Env, names: Sequence[str]) -> dict[str, ml.Trained]:
     models = _TRAINED.setdefault(_inputs_now(env), {})
-    if name not in models:
+    missing = [name for name in names if name not in models]
+    if missing:
         base, split, train, rows, prepared = _training_set(env)
-        models[name] = ml.train_candidate(name, prepared, split, train, rows, f"{base}/{name}")
-        ml.run_record(models[name]).write.mode("append").parquet(f"{base}/runs")
-    return models[name]
+        for trained in ml.train_candidates(missing, prepared, split, train, rows, base):
+            ml.run_record(trained).write.mode("append").parquet(f"{base}/runs")
+            models[trained.name] = trained
+    return models
+
+
+def _trained(env: Env, name: str) -> ml.Trained:
+    return _all_trained(env, [name])[name]
 
 
 def _all_runs(env: Env) -> DataFrame:
-    for name in ml.CANDIDATES:
-        _trained(env, name)
+    _all_trained(env, list(ml.CANDIDATES))
     return env.spark.read.parquet(f"{_training_set(env)[0]}/runs")
 
 
@@ -959,7 +964,7 @@ def feature_importance(env: Env) -> DataFrame:
 
 @query
 def ml_predictions(env: Env) -> DataFrame:
-    return ml.predict(_best(env).model, _training_set(env)[1])
+    return _best(env).predictions
 
 
 @query
@@ -968,7 +973,7 @@ def ml_vs_rules_trained(env: Env) -> DataFrame:
     rules = gold(env, "P")["gold_customer_churn_scores"].select(
         "customer_id", (F.col("churn_risk_band") == "High").cast("int").alias("rule_prediction")
     )
-    joined = ml.predict(_best(env).model, _training_set(env)[1]).join(rules, "customer_id")
+    joined = _best(env).predictions.join(rules, "customer_id")
     return mlprep.compare_predictions(joined, fixed.LABEL, "ml_prediction", "rule_prediction", ["split"])
 
 
