@@ -626,7 +626,8 @@ def ingest_stream_products(env: Env) -> DataFrame:
 @query
 def ingest_stream_transactions(env: Env) -> DataFrame:
     """Both channels streamed to silver, then conformed by the batch step over the streamed tables."""
-    folders = _streamed(env, {"orders": env.inputs.orders(), "pos": env.inputs.pos()}, restart=False)
+    inputs = env.inputs.stored(fresh_path(env.spark, "lines"))
+    folders = _streamed(env, {"orders": inputs.orders(), "pos": inputs.pos()}, restart=False)
     return silver.transactions_unified(
         folders["orders"].silver.read(), folders["pos"].silver.read()
     )
@@ -634,7 +635,8 @@ def ingest_stream_transactions(env: Env) -> DataFrame:
 
 @query
 def stream_silver_orders(env: Env) -> DataFrame:
-    folders = _streamed(env, {"orders": env.inputs.dirty_orders()}, restart=True)
+    inputs = env.inputs.stored(fresh_path(env.spark, "lines"))
+    folders = _streamed(env, {"orders": inputs.dirty_orders()}, restart=True)
     return folders["orders"].silver.read()
 
 
@@ -642,7 +644,7 @@ def stream_silver_orders(env: Env) -> DataFrame:
 def stream_unique_orders(env: Env) -> DataFrame:
     """Orders that land twice, in two runs; the stream's state lets each reach silver once."""
     base = fresh_path(env.spark, "stream-unique")
-    orders, half = env.inputs.orders(), F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    orders, half = env.inputs.stored(f"{base}/lines").orders(), F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
     unique = ingest.Unique("order_id", "order_date", "4000 days")  # longer than the history: no row is late
     for arrived in (orders.filter(half), orders):
         ingest.write_landing(arrived, f"{base}/landing")
@@ -654,12 +656,13 @@ def stream_unique_orders(env: Env) -> DataFrame:
 @query
 def streamed_gold_360_p(env: Env) -> DataFrame:
     """All five sources streamed, then customer 360 over the streamed tables."""
+    inputs = env.inputs.stored(fresh_path(env.spark, "lines"))
     sources = {
         "products": env.inputs.products(),
         "customers": env.inputs.customers(),
         "loyalty": env.inputs.loyalty(),
-        "orders": env.inputs.orders(),
-        "pos": env.inputs.pos(),
+        "orders": inputs.orders(),
+        "pos": inputs.pos(),
     }
     return customer360.customer_360_p(
         profile_from_silver(_streamed(env, sources, restart=False), env.as_of)
@@ -670,12 +673,13 @@ def streamed_gold_360_p(env: Env) -> DataFrame:
 def incremental_gold_360_p(env: Env) -> DataFrame:
     """Customer 360 from state that two arrivals of all five sources have moved on, folded after the first."""
     base = fresh_path(env.spark, "incremental")
+    inputs = env.inputs.stored(f"{base}/lines")
     sources = {
         "products": env.inputs.products(),
         "customers": env.inputs.customers(),
         "loyalty": env.inputs.loyalty(),
-        "orders": env.inputs.orders(),
-        "pos": env.inputs.pos(),
+        "orders": inputs.orders(),
+        "pos": inputs.pos(),
     }
     landing = {dataset: f"{base}/landing/{dataset}" for dataset in sources}
     state = CustomerState(env.spark, f"{base}/state")
@@ -695,12 +699,13 @@ def incremental_gold_360_p(env: Env) -> DataFrame:
 @query
 def stream_quality_report(env: Env) -> DataFrame:
     """Violations of every rule of the five datasets, counted while their rows stream to silver."""
+    inputs = env.inputs.stored(fresh_path(env.spark, "lines"))
     sources = {
         "products": env.inputs.products(),
         "customers": env.inputs.customers(),
         "loyalty": env.inputs.dirty_loyalty().withColumn("loyalty_tier", F.initcap(F.trim("loyalty_tier"))),
-        "orders": env.inputs.dirty_orders(),
-        "pos": env.inputs.pos(),
+        "orders": inputs.dirty_orders(),
+        "pos": inputs.pos(),
     }
     reports = [
         ingest.violation_rows(env.spark, dataset, tables.silver.totals(), silver.SILVER_P[dataset][1])
@@ -713,7 +718,7 @@ def stream_quality_report(env: Env) -> DataFrame:
 def stream_landing_report(env: Env) -> DataFrame:
     """Rows that landed and rows rescued, of orders whose customer ids are text and some of whose amounts are."""
     base = fresh_path(env.spark, "stream-odd")
-    orders = env.inputs.orders()
+    orders = env.inputs.stored(f"{base}/lines").orders()
     number = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("long")
     odd = orders.withColumn("customer_id", F.concat(F.lit("CUST"), F.lpad(F.col("customer_id").cast("string"), 6, "0")))
     faulty = number % 29 == 0

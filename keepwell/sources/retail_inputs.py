@@ -30,6 +30,7 @@ class RetailInputs:
         self.folder = folder.rstrip("/")
         self.as_of = as_of
         self.until = until
+        self.kept: str | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -123,6 +124,8 @@ class RetailInputs:
         shuffle (a row_number limit), so a heavily repeated line costs one row
         per task.
         """
+        if self.kept:
+            return self.spark.read.parquet(self.kept)
         lines = self._until(self.table("lineitem"), "l_shipdate")
         single = keep_one(
             lines,
@@ -136,6 +139,13 @@ class RetailInputs:
         )
         return single.join(orders, "l_orderkey")
 
+    def stored(self, path: str) -> RetailInputs:
+        """The same frames over lines that are paired with their buyers once: orders and pos scan the stored rows."""
+        self._lines().write.parquet(path)
+        same = RetailInputs(self.spark, self.folder, self.as_of, self.until)
+        same.kept = path
+        return same
+
     @staticmethod
     def _line_id():
         return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))

@@ -16,7 +16,7 @@ from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from keepwell.operators.quality import Rule, drop_violators, violation_figures
 from keepwell.plans.silver import SILVER_P
-from keepwell.streaming.schemas import SchemaLog, kinds_of
+from keepwell.streaming.schemas import SchemaLog, fields_of
 from keepwell.streaming.sink import BatchSink
 
 
@@ -41,9 +41,11 @@ LANDING = {
 RESCUED = "_rescued"
 
 
-def parsed(lines: DataFrame, schema: StructType | str) -> DataFrame:
+def parsed(lines: DataFrame, schema: StructType | str, more_fields: bool = True) -> DataFrame:
     """Landing lines (`value`) as declared columns and the rescue column.
 
+    more_fields: off where every line is known to hold declared fields only; the lines are then parsed once, not twice.
+
     A line that is no JSON object, or holds a value that its column's type cannot, is rescued whole; fields
     that are not declared are rescued as an object of their own. Nothing else is lost either: every line
     gives a row, and declared fields of the right type keep their values.
@@ -51,13 +53,13 @@ def parsed(lines: DataFrame, schema: StructType | str) -> DataFrame:
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     held = StructType([*declared.fields, StructField("_broken", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    names = F.array(*[F.lit(name) for name in declared.names])
-    fields = F.from_json("value", MapType(StringType(), StringType()), {"mode": "PERMISSIVE"})
-    more = F.map_filter(fields, lambda name, _: ~F.array_contains(names, name))
-    rows = lines.select("value", F.from_json("value", held, options).alias("row"), more.alias("more"))
-    rescued = F.when(F.col("row").isNull() | F.col("row._broken").isNotNull(), F.col("value")).when(
-        F.size("more") > 0, F.to_json("more")
-    )
+    rows = lines.select("value", F.from_json("value", held, options).alias("row"))
+    rescued = F.when(F.col("row").isNull() | F.col("row._broken").isNotNull(), F.col("value"))
+    if more_fields:
+        names = F.array(*[F.lit(name) for name in declared.names])
+        fields = F.from_json("value", MapType(StringType(), StringType()), {"mode": "PERMISSIVE"})
+        rows = rows.withColumn("more", F.map_filter(fields, lambda name, _: ~F.array_contains(names, name)))
+        rescued = rescued.when(F.size("more") > 0, F.to_json("more"))
     return rows.select(*[F.col(f"row.`{name}`").alias(name) for name in declared.names], rescued.alias(RESCUED))
 
 
@@ -104,8 +106,9 @@ def ingest(
     schemas = SchemaLog(spark, f"{target}/_schemas", declared)
 
     def take(lines: DataFrame, batch: int) -> None:
-        _, current = schemas.evolve(kinds_of(lines), LIMITS if limits is None else limits)
-        rows = parsed(lines, current)
+        kinds, whole = fields_of(lines)
+        _, current = schemas.evolve(kinds, LIMITS if limits is None else limits)
+        rows = parsed(lines, current, not whole or not set(kinds) <= set(current.names))
         sink.write(rows, f"b{batch:09d}", {"rows": F.count(F.lit(1)), "rescued": F.count(RESCUED)})
 
     _run(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing), checkpoint, name, take)

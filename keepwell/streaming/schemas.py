@@ -56,15 +56,26 @@ def conformed(df: DataFrame, schema: StructType) -> DataFrame:
 
 def kinds_of(lines: DataFrame) -> dict[str, set[str]]:
     """The types of the values of each field in JSON lines (`value`), in one pass; one entry per field arrives here."""
+    return fields_of(lines)[0]
+
+
+def fields_of(lines: DataFrame) -> tuple[dict[str, set[str]], bool]:
+    """The same, and whether these are the fields of every line: some lines may be no object, or one without fields."""
     fields = F.try_parse_json("value").try_cast("map<string, variant>")
-    pairs = lines.select(F.explode(fields).alias("name", "held"))
+    pairs = lines.select(F.explode_outer(fields).alias("name", "held"))
     kind = F.schema_of_variant("held")
     plain = (
         F.when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "double").when(kind == "BIGINT", "bigint")
         .when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "void").otherwise("string")
     )
-    found = pairs.select("name", plain.alias("kind")).groupBy("name").agg(F.collect_set("kind").alias("kinds"))
-    return {r["name"]: set(r["kinds"]) for r in found.collect()}
+    kinds: dict[str, set[str]] = {}
+    whole = True
+    for name, seen in pairs.select("name", F.when(F.col("name").isNotNull(), plain).alias("kind")).distinct().collect():
+        if name is None:
+            whole = False
+        else:
+            kinds.setdefault(name, set()).add(seen)
+    return kinds, whole
 
 
 def evolved(schema: StructType, kinds: Mapping[str, set[str]], limits: Mapping[str, str]) -> StructType:
