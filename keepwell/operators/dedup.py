@@ -19,6 +19,33 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("__position", position).filter(F.col("__position") == 1).drop("__position")
 
 
+# Rows are counted in so many buckets of their place; one is crowded from so many rows and times the mean bucket on.
+_PLACES = 4096
+_CROWD_ROWS = 100_000
+_CROWD_TIMES = 4
+
+
+def _crowded(df: DataFrame, bucket: Column) -> Column:
+    """The crowded buckets as one array: at most a quarter of them, found when the query runs."""
+    counted = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    whole = counted.agg(F.collect_list(F.struct("bucket", "n")).alias("found"), F.avg("n").alias("mean"))
+    least = F.greatest(F.lit(_CROWD_ROWS), F.col("mean") * _CROWD_TIMES)
+    return whole.select(F.transform(F.filter("found", lambda b: b["n"] > least), lambda b: b["bucket"])).scalar()
+
+
+def keep_one_at(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], place: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of keep_one in two frames; the first lies where a join or grouping on `place`, one of the keys, needs it.
+
+    Its rows move once for the dedup and for what follows on `place`. No row is pruned before that move, so the rows
+    of crowded places, where a key may repeat without end, make up the second frame: they are pruned first, as keep_one does.
+    """
+    bucket = F.pmod(F.hash(place), F.lit(_PLACES))
+    apart = F.array_contains(_crowded(df, bucket), bucket)
+    return keep_one(df.filter(~apart).repartition(place), keys, order), keep_one(df.filter(apart), keys, order)
+
+
 def latest_customers(customers: DataFrame) -> DataFrame:
     return keep_one(customers, ["customer_id"], [F.desc("registration_date"), "phone"])
 

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.operators.dedup import keep_one
+from keepwell.operators.dedup import keep_one_at
 
 AS_OF = "2001-08-01"
 FIRST_REGISTRATION = "1998-08-02"
@@ -120,24 +120,34 @@ class RetailInputs:
     def _lines(self) -> DataFrame:
         """One row per (order, line), with its buyer.
 
-        Copies are pruned map-side before the
-        shuffle (a row_number limit), so a heavily repeated line costs one row
-        per task.
+        Lines move once, by order: the dedup and the join share that exchange. Lines of
+        crowded orders are pruned map-side before theirs (a row_number limit), so a
+        heavily repeated line costs one row per task. The two flags travel as one number.
         """
         if self.kept:
             return self.spark.read.parquet(self.kept)
         lines = self._until(self.table("lineitem"), "l_shipdate")
-        single = keep_one(
-            lines,
+        single = keep_one_at(
+            lines.withColumn("flags", self._flags()).drop("l_linestatus", "l_returnflag"),
             ["l_orderkey", "l_linenumber"],
             [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
+            "l_orderkey",
         )
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.when(F.col("o_custkey") % 25 != 0, F.col("o_custkey")).alias("buyer"),
             "o_orderpriority",
         )
-        return single.join(orders, "l_orderkey")
+        near, apart = (part.join(orders, "l_orderkey") for part in single)
+        return near.unionByName(apart)
+
+    @staticmethod
+    def _flags():
+        """Tens: 1 online, 2 in store, 0 neither; ones: 1 returned, 2 cancelled, 0 completed."""
+        channel = F.when(F.col("l_linestatus") == "O", 10).when(F.col("l_linestatus") == "F", 20).otherwise(0)
+        cancelled = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7)
+        status = F.when(F.col("l_returnflag") == "R", 1).when(cancelled, 2).otherwise(0)
+        return (channel + status).cast("byte")
 
     def stored(self, path: str) -> RetailInputs:
         """The same frames over lines that are paired with their buyers once: orders and pos scan the stored rows."""
@@ -152,16 +162,13 @@ class RetailInputs:
 
     @staticmethod
     def _status(returned: str):
-        return (
-            F.when(F.col("l_returnflag") == "R", returned)
-            .when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), "Cancelled")
-            .otherwise("Completed")
-        )
+        status = F.col("flags") % 10
+        return F.when(status == 1, returned).when(status == 2, "Cancelled").otherwise("Completed")
 
     def orders(self) -> DataFrame:
         return (
             self._lines()
-            .filter(F.col("l_linestatus") == "O")
+            .filter(F.col("flags").between(10, 19))
             .select(
                 self._line_id().alias("order_id"),
                 F.col("buyer").alias("customer_id"),
@@ -179,7 +186,7 @@ class RetailInputs:
         store = (F.col("l_suppkey") % 8 + 1).cast("string")
         return (
             self._lines()
-            .filter(F.col("l_linestatus") == "F")
+            .filter(F.col("flags").between(20, 29))
             .select(
                 self._line_id().alias("transaction_id"),
                 F.when(F.col("l_suppkey") % 5 >= 2, F.col("buyer")).alias("customer_id"),

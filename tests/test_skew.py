@@ -97,6 +97,28 @@ def test_hot_line_is_pruned_to_one_row(spark):
     assert kept.count() == copies.select("k").distinct().count()
 
 
+def places(spark):
+    """Lines of 300 orders that come up to three times, orders without a key, and one order with a third of all rows."""
+    i = F.col("id")
+    some = spark.range(3000).select((i % 300).alias("k"), (i % 7).alias("n"), (i * 37 % 11).alias("v"))
+    null = spark.range(40).select(F.lit(None).cast("long").alias("k"), F.when(i % 2 == 0, i % 3).alias("n"), i.alias("v"))
+    hot = spark.range(1500).select(F.lit(7).cast("long").alias("k"), (i % 5).alias("n"), (i % 90).alias("v"))
+    return some.unionByName(null).unionByName(hot)
+
+
+def test_a_crowded_place_is_deduplicated_apart(spark, monkeypatch):
+    df = places(spark)
+    expected = rows(dedup.keep_one(df, ["k", "n"], [F.desc("v")]))
+    near, apart = dedup.keep_one_at(df, ["k", "n"], [F.desc("v")], "k")
+    assert rows(near) == expected and apart.count() == 0
+    monkeypatch.setattr(dedup, "_CROWD_ROWS", 500)
+    near, apart = dedup.keep_one_at(df, ["k", "n"], [F.desc("v")], "k")
+    assert rows(near.unionByName(apart)) == expected
+    assert {r.k for r in apart.collect()} == {7} and near.filter("k = 7").count() == 0
+    near, apart = dedup.keep_one_at(df.limit(0), ["k", "n"], ["v"], "k")
+    assert near.count() == apart.count() == 0
+
+
 def test_kpis_with_a_hot_day(facts):
     hot = facts.withColumn(
         "transaction_timestamp",

@@ -1,8 +1,11 @@
 """What several results are computed from is computed and stored once."""
 
+import re
+
 from retail_helpers import SMALL, rows
 from pyspark.sql import functions as F
 
+from keepwell.operators.dedup import keep_one
 from keepwell.plans import customer360, kpis, ml
 from keepwell.queries import Env, _best, _trained, _training_set
 from keepwell.streaming import ingest
@@ -31,6 +34,35 @@ def test_orders_and_sales_scan_the_stored_lines(env, tmp_path):
         assert "Exchange" not in plan(again)
 
 
+def test_lines_move_once_for_dedup_and_buyers(spark, env):
+    """The join with the orders takes the deduplicated lines where they lie; crowded orders alone move twice."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L?(, l_linenumber)?.*?\), (\w+)", plan(env.inputs.orders()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines, buyers, crowded = ("", "REPARTITION_BY_COL"), ("", "ENSURE_REQUIREMENTS"), (", l_linenumber", "ENSURE_REQUIREMENTS")
+    assert sorted(moved) == sorted([lines, buyers, crowded, buyers, buyers])
+
+
+def test_lines_and_flags_are_those_of_one_dedup_and_join(env):
+    lines = keep_one(
+        env.inputs.table("lineitem"),
+        ["l_orderkey", "l_linenumber"],
+        [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
+    )
+    paired = lines.join(env.inputs.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    cancelled = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7)
+    for frame, flag, key, returned in (("orders", "O", "order", "Returned"), ("pos", "F", "transaction", "Refunded")):
+        status = F.when(F.col("l_returnflag") == "R", returned).when(cancelled, "Cancelled").otherwise("Completed")
+        expected = paired.filter(F.col("l_linestatus") == flag).select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber"), "l_partkey", "l_shipdate", "l_extendedprice", status
+        )
+        got = getattr(env.inputs, frame)()
+        assert rows(got, f"{key}_id", "product_id", f"{key}_date", f"{key}_amount", f"{key}_status") == rows(expected)
+
+
 def test_stored_lines_keep_rows_without_keys(spark, tmp_path):
     folder = str(tmp_path / "tables")
     for name in ("lineitem", "orders"):
