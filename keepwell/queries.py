@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -605,16 +605,30 @@ def serve_nba_sample(env: Env) -> DataFrame:
 
 
 # --- streaming --------------------------------------------------------------------------------------
-def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool) -> dict[str, Streamed]:
-    """Land each frame as JSON and stream it to silver; with restart, half of the rows arrive later."""
-    base = fresh_path(env.spark, "stream")
+def _arrivals(
+    env: Env, datasets: dict[str, DataFrame], base: str, restart: bool, lines: str | None = None
+) -> Iterator[dict[str, Streamed]]:
+    """Land each frame as JSON and stream it to silver; with restart, half of the rows arrive later.
+
+    Landed files are deleted when bronze and silver hold their rows, and the stored `lines` that frames scan when all have landed.
+    """
     landing = {dataset: f"{base}/landing/{dataset}" for dataset in datasets}
+    files = SharedFiles(env.spark)
     for late in (0, 1) if restart else (None,):
         for dataset, rows in datasets.items():
             half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
             ingest.write_landing(rows if late is None else rows.filter(half == late), landing[dataset])
+        if lines and late != 0:
+            files.delete(lines)
         folders = stream_to_silver(env.spark, landing, f"{base}/tables")
-    return folders
+        for folder in landing.values():
+            files.delete(folder)
+        yield folders
+
+
+def _streamed(env: Env, datasets: dict[str, DataFrame], restart: bool, lines: str | None = None) -> dict[str, Streamed]:
+    """The tables after the last arrival."""
+    return list(_arrivals(env, datasets, fresh_path(env.spark, "stream"), restart, lines))[-1]
 
 
 @query
@@ -681,14 +695,10 @@ def incremental_gold_360_p(env: Env) -> DataFrame:
         "orders": inputs.orders(),
         "pos": inputs.pos(),
     }
-    landing = {dataset: f"{base}/landing/{dataset}" for dataset in sources}
     state = CustomerState(env.spark, f"{base}/state")
-    for late in (0, 1):
-        for dataset, rows in sources.items():
-            ingest.write_landing(rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == late), landing[dataset])
-        streamed = stream_to_silver(env.spark, landing, f"{base}/tables")
+    for arrival, streamed in enumerate(_arrivals(env, sources, base, restart=True, lines=inputs.kept)):
         state.advance({dataset: streamed[dataset].silver for dataset in ("orders", "pos")})
-        if not late:
+        if not arrival:
             state.compact()
     tables = {dataset: streamed[dataset].silver.read() for dataset in ("products", "customers", "loyalty")}
     rollup = state.rollup(dedup.first_products(tables["products"]), env.as_of)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepwell.operators.dedup import keep_one_at
+from keepwell.session import shuffles_freed
 
 AS_OF = "2001-08-01"
 FIRST_REGISTRATION = "1998-08-02"
@@ -151,7 +152,8 @@ class RetailInputs:
 
     def stored(self, path: str) -> RetailInputs:
         """The same frames over lines that are paired with their buyers once: orders and pos scan the stored rows."""
-        self._lines().write.parquet(path)
+        with shuffles_freed(self.spark):
+            self._lines().write.option("compression", "zstd").parquet(path)
         same = RetailInputs(self.spark, self.folder, self.as_of, self.until)
         same.kept = path
         return same

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from keepwell import fixed_values as fixed
 from keepwell.functions.money import cents
 from keepwell.plans.customer360 import activity_sums
+from keepwell.session import shuffles_freed
 from keepwell.sources.versions import VersionLog
 from keepwell.streaming.ingest import each_batch
 from keepwell.streaming.schemas import conformed, merged
@@ -105,14 +106,18 @@ class CustomerState:
         entry = log.entry(newest)
         return self.spark.read.parquet(f"{self.base}/{part}/{entry['folder']}"), set(entry["batches"])
 
-    def read(self, part: str) -> DataFrame:
-        """One row per key of a part of the state."""
+    def _rows(self, part: str) -> DataFrame:
+        """The last fold and the batches since: a key may have a row in each."""
         folded, batches = self._folded(part)
         rows = self.parts[part].read(without=batches)
-        if folded is not None:
-            wide = merged([folded.schema, rows.schema] if rows is not None else [folded.schema])
-            rows = conformed(folded, wide) if rows is None else conformed(folded, wide).unionByName(conformed(rows, wide))
-        return merged_rows(part, rows)
+        if folded is None:
+            return rows
+        wide = merged([folded.schema, rows.schema] if rows is not None else [folded.schema])
+        return conformed(folded, wide) if rows is None else conformed(folded, wide).unionByName(conformed(rows, wide))
+
+    def read(self, part: str) -> DataFrame:
+        """One row per key of a part of the state."""
+        return merged_rows(part, self._rows(part))
 
     def compact(self) -> None:
         """Fold all batches of each part into one; a reader finds either the old ones or the fold."""
@@ -120,14 +125,18 @@ class CustomerState:
             after = log.latest()
             batches = self.parts[part].batches()
             folder = f"_folded/{uuid.uuid4().hex}"
-            self.read(part).write.parquet(f"{self.base}/{part}/{folder}")
+            with shuffles_freed(self.spark):
+                self.read(part).write.option("compression", "zstd").parquet(f"{self.base}/{part}/{folder}")
             log.commit({"folder": folder, "batches": sorted({*batches, *self._folded(part)[1]})}, after)
             if after:
                 log.files.delete(f"{self.base}/{part}/{log.entry(after)['folder']}")
 
     def rollup(self, products: DataFrame, as_of: Column, windows=fixed.ACTIVITY_WINDOWS) -> DataFrame:
-        """The measures of every customer, as a grouping of all transactions gives them."""
-        days = self.read("days")
+        """The measures of every customer, as a grouping of all transactions gives them.
+
+        They are sums, least and greatest values, so rows of one key need not be merged before.
+        """
+        days = self._rows("days")
         age = F.datediff(as_of, F.col("day"))
         measures = days.groupBy("customer_id").agg(
             *_sums("ecom_orders", "ecom_cents", "pos_orders", "pos_cents", "refund_return_count"),
@@ -135,7 +144,7 @@ class CustomerState:
             F.min(F.when((F.col("ecom_orders") > 0) & (age >= 0), age)).alias("least_age"),
             *activity_sums(F.col("ecom_orders") + F.col("pos_orders"), F.col("ecom_cents") + F.col("pos_cents"), age, windows),
         )
-        choices = self.read("choices")
+        choices = self._rows("choices")
         category = products.select("product_id", F.struct(F.col("category").alias("value")).alias("value"))
         of_category = _most_frequent(choices.join(category, "product_id"), "favorite_category")
         of_channel = _most_frequent(choices.withColumn("value", F.struct(F.col("channel").alias("value"))), "preferred_channel")

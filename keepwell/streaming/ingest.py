@@ -16,14 +16,20 @@ from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from keepwell.operators.quality import Rule, drop_violators, violation_figures
 from keepwell.plans.silver import SILVER_P
+from keepwell.session import shuffles_freed
 from keepwell.streaming.schemas import SchemaLog, fields_of
 from keepwell.streaming.sink import BatchSink
 
 
+# Compressed lines are read by one task a file, so a file holds so many rows at most.
+LANDING_ROWS = 1_000_000
+
+
 def write_landing(df: DataFrame, folder: str, files: int | None = None) -> None:
-    """Rows as JSON files in a landing folder, added to what is there; one file per task unless a count is given."""
+    """Rows as compressed JSON files in a landing folder, added to what is there; one file per task unless a count is given."""
     spread = df if files is None else df.repartition(files)
-    spread.write.mode("append").json(folder)
+    with shuffles_freed(df.sparkSession):
+        spread.write.mode("append").options(compression="gzip", maxRecordsPerFile=LANDING_ROWS).json(folder)
 
 
 # Declared columns of the landing files, by dataset. What does not fit goes to the rescue column.

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from keepwell.session import shuffles_freed
 from keepwell.sources.files import SharedFiles
 from keepwell.streaming.schemas import conformed, merged
 
@@ -47,7 +48,8 @@ class BatchSink:
             self.files.write_new(f"{folder}/_schema", stored.schema.json())
             aside = f"{self.base}/_aside/{uuid.uuid4().hex}"
             seen = Observation()
-            keep(df.observe(seen, *columns)).write.parquet(aside)
+            with shuffles_freed(df.sparkSession):
+                keep(df.observe(seen, *columns)).write.option("compression", "zstd").parquet(aside)
             counted = seen.get
             self.files.rename(aside, f"{folder}/{name}")
         self.files.write_new(note, json.dumps({"name": name, "figures": counted}))
