@@ -679,7 +679,7 @@ def streamed_gold_360_p(env: Env) -> DataFrame:
         "pos": inputs.pos(),
     }
     return customer360.customer_360_p(
-        profile_from_silver(_streamed(env, sources, restart=False), env.as_of)
+        profile_from_silver(_streamed(env, sources, restart=False, lines=inputs.kept), env.as_of)
     )
 
 

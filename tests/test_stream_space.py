@@ -130,3 +130,9 @@ def test_rollup_does_not_merge_keys_before_it_sums(spark, env, tmp_path):
         "favorite_category": "a", "preferred_channel": "Ecommerce",
     }
     assert (got[2]["ecom_orders"], got[2]["least_age"], got[2]["transactions_last_30d"]) == (3, None, 0)
+
+
+def test_streamed_gold_keeps_its_tables_only(spark, env, base):
+    result = queries.QUERIES["streamed_gold_360_p"](spark, SMALL)
+    check_left(spark, base / "stream", base / "lines", landed(env))
+    assert rows(result) == rows(env.c360_p.select(result.columns))
