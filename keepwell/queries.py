@@ -719,7 +719,7 @@ def stream_quality_report(env: Env) -> DataFrame:
     }
     reports = [
         ingest.violation_rows(env.spark, dataset, tables.silver.totals(), silver.SILVER_P[dataset][1])
-        for dataset, tables in _streamed(env, sources, restart=True).items()
+        for dataset, tables in _streamed(env, sources, restart=True, lines=inputs.kept).items()
     ]
     return reduce(DataFrame.unionByName, reports)
 

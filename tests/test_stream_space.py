@@ -136,3 +136,9 @@ def test_streamed_gold_keeps_its_tables_only(spark, env, base):
     result = queries.QUERIES["streamed_gold_360_p"](spark, SMALL)
     check_left(spark, base / "stream", base / "lines", landed(env))
     assert rows(result) == rows(env.c360_p.select(result.columns))
+
+
+def test_stream_quality_keeps_its_tables_only(spark, env, base):
+    report = rows(queries.QUERIES["stream_quality_report"](spark, SMALL))
+    check_left(spark, base / "stream", base / "lines", landed(env, dirty=True))
+    assert report == rows(queries.QUERIES["dq_expectation_report"](spark, SMALL))
