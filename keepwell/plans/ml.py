@@ -143,8 +143,9 @@ def train_candidates(
 
     def one(name: str) -> Trained:
         path = f"{base}/{name}"
-        model = PipelineModel(stages=[*prepared.stages, CANDIDATES[name](rows).fit(ready)])
-        model.write().overwrite().save(path)
+        PipelineModel(stages=[*prepared.stages, CANDIDATES[name](rows).fit(ready)]).write().overwrite().save(path)
+        # as stored it is without the training's summary, whose session no task can take once it has observed a frame
+        model = PipelineModel.load(path)
         predictions = _stored(predict(model, split), f"{path}-predictions")
         return Trained(name, model, _stored(evaluate(predictions, name), f"{path}-metrics"), path, predictions)
 
